@@ -306,3 +306,137 @@ SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type
 FROM events""")
 
 oracle("incremental_landing", "SELECT event_id, user_id, event_type, value FROM events")
+
+
+# ---------------------------------------------------------------------------
+# Relational HTML mining
+# ---------------------------------------------------------------------------
+
+def _strip_invisible(e: str) -> str:
+    e = f"regexp_replace({e}, '(?s)<!--.*?-->', '', 'g')"
+    for t in ("script", "style"):
+        e = f"regexp_replace({e}, {lit(rf'(?is)<{t}\b[^>]*>.*?</{t}\s*>')}, '', 'g')"
+    return e
+
+
+_href_re = (f"(?is)^<a{WS}(?:[^>]*?{WS})?href{WS}*={WS}*"
+            f"(?:\"([^\"]*)\"|'([^']*)'|([^{rules.WS_CLASS}\"'>]+))")
+_tokens_sql = f"""
+  l AS (SELECT page_id, regexp_extract_all({_strip_invisible('html')}, '(<[^>]+>|[^<]+)', 1) AS l FROM pages),
+  t0 AS (SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS pos, unnest(l) AS tok FROM l),
+  t1 AS (SELECT *, lower(regexp_extract(tok, '^</?([A-Za-z][A-Za-z0-9]*)', 1)) AS tag FROM t0),
+  tk AS (SELECT page_id, pos, tok, tag,
+                CASE WHEN tag <> '' THEN CASE WHEN starts_with(tok, '</') THEN 'end' ELSE 'start' END
+                     WHEN starts_with(tok, '<!') OR starts_with(tok, '<?') THEN 'decl' ELSE 'text' END AS kind
+         FROM t1),
+  tokens AS (SELECT *, CASE WHEN kind = 'start' AND tag = 'a' THEN coalesce(
+                 {', '.join(f"nullif(regexp_extract(tok, {lit(_href_re)}, {g}), '')" for g in (1, 2, 3))}) END AS href
+             FROM tk)"""
+
+oracle("token_table", f"WITH {_tokens_sql} SELECT page_id, pos, kind, tag, tok, href FROM tokens")
+
+
+def _clean_raw(e: str) -> str:
+    return f"coalesce({S.strip_tags_text(S.unescape(e))}, '')"
+
+
+oracle("list_items", f"""
+WITH {_tokens_sql},
+d AS (SELECT *, kind = 'start' AND tag IN ('ul', 'ol') AS is_ls, kind = 'end' AND tag IN ('ul', 'ol') AS is_le,
+             sum(CASE WHEN kind = 'start' AND tag IN ('ul', 'ol') THEN 1
+                      WHEN kind = 'end' AND tag IN ('ul', 'ol') THEN -1 ELSE 0 END)
+                 OVER (PARTITION BY page_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS depth,
+             last_value(CASE WHEN tag = 'a' AND kind = 'start' THEN pos WHEN tag = 'a' AND kind = 'end' THEN -1 END
+                        IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS anchor
+      FROM tokens),
+r AS (SELECT *, unnest(CASE WHEN is_ls THEN ['open', 'child'] ELSE ['tok'] END) AS role
+      FROM d WHERE depth >= 1 OR is_le),
+k AS (SELECT *, CASE WHEN role = 'child' THEN depth - 1 WHEN is_le THEN depth + 1 ELSE depth END AS key FROM r),
+lp AS (SELECT *, last_value(CASE WHEN role = 'open' THEN pos END IGNORE NULLS)
+                   OVER (PARTITION BY page_id, key ORDER BY pos ROWS UNBOUNDED PRECEDING) AS list_pos FROM k),
+ow AS (SELECT *, last_value(CASE WHEN role = 'tok' AND kind = 'start' AND tag = 'li' THEN pos
+                                 WHEN role = 'tok' AND kind = 'end' AND tag = 'li' THEN -1 END IGNORE NULLS)
+                   OVER (PARTITION BY page_id, key, list_pos ORDER BY pos ROWS UNBOUNDED PRECEDING) AS o FROM lp),
+own AS (SELECT * FROM ow WHERE o >= 0 AND role = 'tok'),
+fa AS (SELECT page_id, o, min(pos) AS a_pos, arg_min(href, pos) AS a_href FROM own
+       WHERE tag = 'a' AND kind = 'start' AND href IS NOT NULL GROUP BY page_id, o),
+per_item AS (
+  SELECT own.page_id, own.o AS li_pos,
+         {_clean_raw("string_agg(tok, ' ' ORDER BY pos) FILTER (WHERE kind = 'text')")} AS own_text,
+         {_clean_raw("string_agg(tok, '' ORDER BY pos) FILTER (WHERE kind = 'text')")} AS full_text,
+         {_clean_raw("string_agg(tok, '' ORDER BY pos) FILTER (WHERE kind = 'text' AND anchor = fa.a_pos)")} AS link_text,
+         {_clean_raw("string_agg(tok, '' ORDER BY pos) FILTER (WHERE kind = 'text' AND anchor IS DISTINCT FROM fa.a_pos)")}
+             AS rest_text,
+         {S.unescape('any_value(fa.a_href)')} AS href
+  FROM own LEFT JOIN fa ON own.page_id = fa.page_id AND own.o = fa.o
+  GROUP BY own.page_id, own.o),
+li AS (SELECT page_id, pos AS li_pos, list_pos, CAST(key AS INTEGER) AS depth FROM ow
+       WHERE role = 'tok' AND kind = 'start' AND tag = 'li'),
+lists AS (SELECT page_id, list_pos, max(pos) AS list_end FROM ow WHERE key >= 1 GROUP BY page_id, list_pos),
+child AS (SELECT page_id, pos AS list_pos, CASE WHEN o >= 0 THEN o END AS parent_li FROM ow WHERE role = 'child'),
+has_list AS (SELECT DISTINCT page_id, parent_li AS li_pos FROM child WHERE parent_li IS NOT NULL)
+SELECT li.page_id, li.li_pos, li.list_pos, lists.list_end, li.depth, child.parent_li,
+       coalesce(p.own_text, '') AS own_text, coalesce(p.full_text, '') AS full_text,
+       coalesce(p.link_text, '') AS link_text, coalesce(p.rest_text, '') AS rest_text, p.href,
+       h.li_pos IS NOT NULL AS has_list
+FROM li
+LEFT JOIN lists ON li.page_id = lists.page_id AND li.list_pos = lists.list_pos
+LEFT JOIN child ON li.page_id = child.page_id AND li.list_pos = child.list_pos
+LEFT JOIN per_item p ON li.page_id = p.page_id AND li.li_pos = p.li_pos
+LEFT JOIN has_list h ON li.page_id = h.page_id AND li.li_pos = h.li_pos""")
+
+_geo = """
+  SELECT s.*, n.n_name, n.n_regionkey, r.r_name
+  FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
+_money = "CAST(CAST({c} AS DECIMAL(12,2)) AS VARCHAR)"
+
+
+def _req_flags(name: str) -> str:
+    return (f"CASE WHEN {S.contains_any(S.fold(name), rules.OPTIONAL_WORDS)} THEN 'N' ELSE 'Y' END AS OBLIGATORIEDAD, "
+            f"CASE WHEN {S.contains_any(S.fold(name), rules.LEGAL_PERSON_WORDS)} THEN 'N' ELSE 'Y' END AS PERSONA_FISICA")
+
+
+oracle("requirements_flatten", f"""
+WITH g AS ({_geo}),
+leaves AS (
+  SELECT s_suppkey, r_name || ': ' || n_name || ': ' || s_name AS n FROM g WHERE s_acctbal >= 0
+  UNION ALL
+  SELECT s_suppkey, r_name || ': ' || n_name || ': Saldo ' || {_money.format(c='s_acctbal')}
+         || CASE WHEN s_acctbal < 1000 THEN ' (opcional)' ELSE '' END FROM g WHERE s_acctbal >= 0
+  UNION ALL
+  SELECT s_suppkey, 'Empresa ' || CAST(s_suppkey AS VARCHAR) FROM g WHERE s_acctbal >= 0)
+SELECT s_suppkey, {S.capitalize_first('n')} AS NOMBRE_REQUISITO, {_req_flags('n')}, 'GENERAL' AS ID_SUBGRUPO
+FROM leaves
+UNION ALL
+SELECT s_suppkey, 'Presentar nota de ' || s_name, 'Y', 'Y', 'GENERAL' FROM g WHERE s_acctbal < 0""")
+
+oracle("documentation_catalogue", f"""
+SELECT o_orderkey,
+       CASE WHEN o_totalprice > 200000 THEN 'Copia del pedido ' ELSE 'Pedido ' END || CAST(o_orderkey AS VARCHAR)
+         AS NOMBRE_DOCUMENTO,
+       'prioridad ' || o_orderpriority AS DESCRIPCION_DOCUMENTO, 'N' AS TIENE_MODELO, NULL AS LINK_MODELO,
+       'Obligatoria' AS TIPO_DOCUMENTO
+FROM orders
+UNION ALL
+SELECT o_orderkey, 'Formulario ' || CAST(o_custkey AS VARCHAR), 'firmado', 'Y',
+       'https://x.example/c/' || CAST(o_custkey AS VARCHAR) || '.pdf', 'Obligatoria' FROM orders
+UNION ALL
+SELECT o_orderkey, 'Comprobante ' || CAST(o_orderkey AS VARCHAR) || ' ()', '', 'Y',
+       'https://x.example/o/' || CAST(o_orderkey AS VARCHAR), 'Obligatoria' FROM orders
+UNION ALL
+SELECT o_orderkey, 'Nota del ' || strftime(o_orderdate, '%Y-%m-%d'), '', 'N', NULL, 'Opcional' FROM orders""")
+
+oracle("organisation_profile", f"""
+WITH g AS ({_geo}),
+v AS (SELECT s_suppkey, 'Ministerio de ' || n_name AS name,
+             '4323-' || CAST(s_suppkey % 9000 + 1000 AS VARCHAR) AS phone,
+             'contacto' || CAST(s_suppkey AS VARCHAR) || '@x.gob.ar' AS mail,
+             CASE WHEN s_acctbal >= 0 THEN 'Av. Corrientes ' ELSE 'Calle Defensa ' END
+               || CAST(s_suppkey + 100 AS VARCHAR) AS address,
+             CASE WHEN n_regionkey = 0 THEN 'Lunes y martes de 8 a 12' ELSE 'Lunes a viernes de 9 a 15' END AS hours
+      FROM g)
+SELECT s_suppkey, name AS NOMBRE_DEPENDENCIA, 'Contacto Teléfono: ' || phone || ' ' || mail AS DESCRIPCION_DEPENDENCIA,
+       hours AS HORARIO_DEPENDENCIA, address AS DIRECCION_DEPENDENCIA, phone AS TELEFONO_DEPENDENCIA,
+       mail AS MAIL_ATENCION, CASE WHEN contains(lower(name), 'ministerio') THEN name END AS DEPENDENCIA_MINISTERIO
+FROM v""")

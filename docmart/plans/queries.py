@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from docmart import rules
 from docmart.functions import text as X
-from docmart.operators import mining, routing, star
+from docmart.operators import html_rel, mining, routing, star
 from docmart.sources import landing
 from docmart.streaming import incremental
 from docmart.session import shared_dir
@@ -527,3 +527,89 @@ def incremental_landing(spark, sf_dir):
     incremental.ingest_available(spark, src, sink, ckpt, ev.schema)
     out = spark.read.schema(ev.schema).parquet(sink)
     return out.select("event_id", "user_id", "event_type", "value")
+
+
+# ---------------------------------------------------------------------------
+# Relational HTML mining
+# ---------------------------------------------------------------------------
+
+@query
+def token_table(spark, sf_dir):
+    """H1 over every page."""
+    pages = table(spark, sf_dir, "pages")
+    return html_rel.html_tokens(pages, "page_id", "html").select("page_id", "pos", "kind", "tag", "tok", "href")
+
+
+@query
+def list_items(spark, sf_dir):
+    """H2 over every page: list items with depth, parent, texts and first link."""
+    pages = table(spark, sf_dir, "pages")
+    items = html_rel.list_items(html_rel.html_tokens(pages, "page_id", "html"), "page_id")
+    return items.select("page_id", "li_pos", "list_pos", "list_end", "depth", "parent_li", "own_text",
+                        "full_text", "link_text", "rest_text", "href", "has_list")
+
+
+def money(c):
+    return c.cast("decimal(12,2)").cast("string")
+
+
+def _supplier_geo(spark, sf_dir):
+    sup = table(spark, sf_dir, "supplier")
+    nat = table(spark, sf_dir, "nation")
+    reg = table(spark, sf_dir, "region")
+    return (sup.join(nat, sup.s_nationkey == nat.n_nationkey, "left")
+               .join(reg, nat.n_regionkey == reg.r_regionkey, "left"))
+
+
+@query
+def requirements_flatten(spark, sf_dir):
+    """H3 + T10 + T11 + T12 over each supplier rendered as a nested list
+    (region > nation > supplier), or as paragraphs when its balance is negative."""
+    s = _supplier_geo(spark, sf_dir)
+    optional = F.when(F.col("s_acctbal") < 1000, F.lit(" (opcional)")).otherwise(F.lit(""))
+    nested = F.concat(
+        F.lit("<ul><li>"), F.col("r_name"), F.lit(":<ul><li>"), F.col("n_name"), F.lit("<ul><li>"), F.col("s_name"),
+        F.lit("</li><li>Saldo "), money(F.col("s_acctbal")), optional, F.lit("</li></ul></li></ul></li><li>Empresa "),
+        F.col("s_suppkey").cast("string"), F.lit("</li></ul>"))
+    paras = F.concat(F.lit("<p>Presentar nota de "), F.col("s_name"), F.lit("</p><p>miBA nivel 2</p><p>abc</p>"))
+    docs = s.select("s_suppkey", F.when(F.col("s_acctbal") >= 0, nested).otherwise(paras).alias("html"))
+    reqs = mining.requirements(docs, "s_suppkey", "html")
+    return reqs.select("s_suppkey", "NOMBRE_REQUISITO", "OBLIGATORIEDAD", "PERSONA_FISICA", "ID_SUBGRUPO")
+
+
+@query
+def documentation_catalogue(spark, sf_dir):
+    """H4 + T9 + T8 over each order rendered as an obligatory list (plain,
+    named-link and generic-link items) and an optional paragraph."""
+    o = table(spark, sf_dir, "orders")
+    first = F.when(F.col("o_totalprice") > 200000, F.lit("y copia del pedido ")).otherwise(F.lit("Pedido "))
+    html = F.concat(
+        F.lit("<h3>Documentación obligatoria</h3><ul><li>"), first, F.col("o_orderkey").cast("string"),
+        F.lit(": prioridad "), F.col("o_orderpriority"),
+        F.lit('</li><li><a href="https://x.example/c/'), F.col("o_custkey").cast("string"),
+        F.lit('.pdf">Formulario '), F.col("o_custkey").cast("string"), F.lit("</a> firmado</li><li>Comprobante "),
+        F.col("o_orderkey").cast("string"), F.lit(' (<a href="https://x.example/o/'), F.col("o_orderkey").cast("string"),
+        F.lit('">descargar</a>)</li></ul><h3>Documentación opcional</h3><p>Nota del '),
+        F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("</p>"))
+    docs = mining.documentation(o.select("o_orderkey", html.alias("html")), "o_orderkey", "html")
+    return docs.select("o_orderkey", "NOMBRE_DOCUMENTO", "DESCRIPCION_DOCUMENTO", "TIENE_MODELO", "LINK_MODELO",
+                       "TIPO_DOCUMENTO")
+
+
+@query
+def organisation_profile(spark, sf_dir):
+    """H4 + H5 + T13 over each supplier rendered as an organisation page."""
+    s = _supplier_geo(spark, sf_dir)
+    key = F.col("s_suppkey").cast("string")
+    addr = F.when(F.col("s_acctbal") >= 0,
+                  F.concat(F.lit("<h3>Dirección</h3><p>Av. Corrientes "), (F.col("s_suppkey") + 100).cast("string"),
+                           F.lit("</p>"))) \
+        .otherwise(F.concat(F.lit("<p>Calle Defensa "), (F.col("s_suppkey") + 100).cast("string"), F.lit("</p>")))
+    hours = F.when(F.col("n_regionkey") == 0, F.lit("<h3>Días de atención</h3><p>Lunes y martes</p><p>de 8 a 12</p>")) \
+        .otherwise(F.lit("<h3>Horario</h3><p>Lunes a viernes de 9 a 15</p>"))
+    html = F.concat(
+        F.lit("<h3>Organismo</h3><p>Ministerio de "), F.col("n_name"), F.lit("</p>"), addr, hours,
+        F.lit("<h4>Contacto</h4><p>Teléfono: 4323-"), (F.col("s_suppkey") % 9000 + 1000).cast("string"),
+        F.lit(" contacto"), key, F.lit("@x.gob.ar</p>"))
+    orgs = mining.organisations(s.select("s_suppkey", html.alias("html")), "s_suppkey", "html")
+    return orgs.select("s_suppkey", *mining.ORG_COLUMNS)
