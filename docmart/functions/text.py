@@ -59,12 +59,17 @@ def strip_tags_text(c) -> Column:
     return F.trim(collapse_ws(no_tags))
 
 
+def unescape(c) -> Column:
+    """HTML entity decoding. Only text holding '&' is sent to the Arrow helper;
+    other rows travel as NULL (no payload) and keep their value."""
+    c = _col(c)
+    return F.coalesce(arrow.html_unescape(F.when(c.contains("&"), c)), c)
+
+
 def clean_html(c) -> Column:
     """T1. NULL or '' -> NULL; decode entities, then tags -> space, collapse, trim."""
     c = _col(c)
-    return F.when(c.isNull() | (c == ""), F.lit(None).cast("string")).otherwise(
-        strip_tags_text(arrow.html_unescape(c))
-    )
+    return F.when(c.isNull() | (c == ""), F.lit(None).cast("string")).otherwise(strip_tags_text(unescape(c)))
 
 
 def fold(c) -> Column:
@@ -104,7 +109,7 @@ def first_href(html) -> Column:
     h = _col(html)
     pattern = rf"(?is)<a{WS}(?:[^>]*?{WS})?href{WS}*={WS}*(?:\"([^\"]*)\"|'([^']*)'|([^{rules.WS_CLASS}\"'>]+))"
     raw = F.coalesce(*[F.nullif(F.regexp_extract(h, pattern, g), F.lit("")) for g in (1, 2, 3)])
-    return arrow.html_unescape(raw)
+    return unescape(raw)
 
 
 def classify_link(link, patterns: Sequence[tuple[str, str]] = rules.PLATFORM_PATTERNS,
@@ -195,7 +200,7 @@ def payment_labels(text, patterns: Sequence[tuple[str, str]] = rules.PAYMENT_PAT
     """
     t = F.regexp_replace(_col(text), "<[^>]+>", " ")
     t = F.regexp_replace(t, r"\\[nrtbf]", " ")
-    folded = fold(arrow.html_unescape(t))
+    folded = fold(unescape(t))
     hits = [F.when(folded.rlike("(?iU)" + pat), F.lit(label)) for label, pat in patterns]
     return F.array_sort(F.filter(F.array(*hits), lambda x: x.isNotNull()))
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job needs regardless of cluster size.
 REQUIRED_CONF = {
@@ -46,18 +47,39 @@ def apply_required_conf(spark: SparkSession) -> None:
             pass
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
+def checkpoint_base(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; it is read
-    from the session. Only when it is unset (local runs, tests) is a local
-    folder created and registered as the checkpoint folder.
+    Read from the session; only when it is unset (local runs, tests) is a
+    local folder created and registered.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = base.get() if base.isDefined() else None
+        cur = spark.sparkContext._jsc.sc().getCheckpointDir()
+        base = cur.get() if cur.isDefined() else None
     if not base:
         base = tempfile.mkdtemp(prefix="docmart-")
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/") + "/" + name + "-" + uuid.uuid4().hex[:12]
+    return base
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    return checkpoint_base(spark).rstrip("/") + "/" + name + "-" + uuid.uuid4().hex[:12]
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Cuts the lineage of an intermediate that several branches read (so it is
+    computed once and survives lost executors); the hash partitioning it was
+    written with is kept, so readers partitioned on the same key do not shuffle.
+    """
+    checkpoint_base(df.sparkSession)
+    # Cached first, so the checkpoint write reads the result instead of
+    # computing the plan a second time; the cache is dropped once written.
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
