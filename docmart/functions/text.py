@@ -66,6 +66,13 @@ def unescape(c) -> Column:
     return F.coalesce(arrow.html_unescape(F.when(c.contains("&"), c)), c)
 
 
+def unescape_many(cols) -> list[Column]:
+    """``unescape`` for several columns in one Arrow call (one array per row)."""
+    cols = [_col(c) for c in cols]
+    decoded = arrow.html_unescape_array(F.array(*[F.when(c.contains("&"), c) for c in cols]))
+    return [F.coalesce(decoded[i], c) for i, c in enumerate(cols)]
+
+
 def clean_html(c) -> Column:
     """T1. NULL or '' -> NULL; decode entities, then tags -> space, collapse, trim."""
     c = _col(c)
