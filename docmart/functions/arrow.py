@@ -1,11 +1,12 @@
-"""The two text steps Spark has no built-in for, as Arrow-batched UDFs.
+"""The two text steps Spark has no built-in for, as Arrow UDFs.
 
 * HTML entity decoding needs the full HTML5 entity table (named entities with
   and without ``;``, decimal and hex references).
 * Accent folding needs Unicode NFKD decomposition and the combining-class test.
 
-Both take a fast path for rows that need no work (no ``&``; pure ASCII), so the
-Python side only touches the rows that carry entities or accents.
+Both work on Arrow arrays: vectorised pyarrow kernels pick the values that need
+Python (those holding ``&``; non-ASCII text) and handle everything else, so a
+batch of plain rows never reaches per-row Python.
 """
 
 from __future__ import annotations
@@ -14,14 +15,18 @@ import html
 import sys
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Ship these helpers to executors by value: workers need only the standard library.
+# Ship these helpers to executors by value: workers need only pyarrow and the standard library.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Python's str.isspace() characters within ASCII, for the vectorised path.
+_ASCII_WS = r"[\t\n\x0b\f\r\x1c-\x1f ]+"
+
 
 def unescape_one(x):
     if x is None:
@@ -38,21 +43,53 @@ def fold_one(x):
     return " ".join(x.split()).lower()
 
 
-@F.pandas_udf(T.StringType())
-def html_unescape(s: pd.Series) -> pd.Series:
-    return s.map(unescape_one)
+def _patch(values: pa.Array, mask: pa.Array, fn) -> pa.Array:
+    """``values`` with the masked entries replaced by ``fn`` of each."""
+    if not pc.any(mask).as_py():
+        return values
+    fixed = [fn(x) for x in pc.filter(values, mask).to_pylist()]
+    return pc.replace_with_mask(values, mask, pa.array(fixed, type=values.type))
+
+
+def unescape_values(a: pa.Array) -> pa.Array:
+    return _patch(a, pc.fill_null(pc.match_substring(a, "&"), False), unescape_one)
+
+
+def fold_values(a: pa.Array) -> pa.Array:
+    a = pc.fill_null(a, "")
+    fast = pc.utf8_lower(pc.utf8_trim(pc.replace_substring_regex(a, _ASCII_WS, " "), " "))
+    return _patch_from(fast, a, pc.invert(pc.fill_null(pc.string_is_ascii(a), True)), fold_one)
+
+
+def _patch_from(out: pa.Array, src: pa.Array, mask: pa.Array, fn) -> pa.Array:
+    """``out`` with masked entries replaced by ``fn`` of the matching ``src`` entries."""
+    if not pc.any(mask).as_py():
+        return out
+    fixed = [fn(x) for x in pc.filter(src, mask).to_pylist()]
+    return pc.replace_with_mask(out, mask, pa.array(fixed, type=out.type))
+
+
+def _on_lists(a, fn):
+    """Apply a values function to every element of a list array."""
+    new_values = fn(a.values)
+    return type(a).from_arrays(a.offsets, new_values, mask=a.is_null())
+
+
+@F.arrow_udf(T.StringType())
+def html_unescape(a: pa.Array) -> pa.Array:
+    return unescape_values(a)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def html_unescape_array(s: pd.Series) -> pd.Series:
-    return s.map(lambda a: None if a is None else [unescape_one(x) for x in a])
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def html_unescape_array(a: pa.Array) -> pa.Array:
+    return _on_lists(a, unescape_values)
 
 
-@F.pandas_udf(T.StringType())
-def fold(s: pd.Series) -> pd.Series:
-    return s.map(fold_one)
+@F.arrow_udf(T.StringType())
+def fold(a: pa.Array) -> pa.Array:
+    return fold_values(a)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def fold_array(s: pd.Series) -> pd.Series:
-    return s.map(lambda a: None if a is None else [fold_one(x) for x in a])
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def fold_array(a: pa.Array) -> pa.Array:
+    return _on_lists(a, fold_values)

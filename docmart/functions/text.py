@@ -185,10 +185,18 @@ def required_flag(name, subtitle=None, words: Sequence[str] = rules.OPTIONAL_WOR
 
 def phone(text, pattern: str = rules.PHONE_PATTERN) -> Column:
     """T13a. Phone number within 40 non-digits of a cue word, spaces removed."""
-    found = F.nullif(F.regexp_extract(_col(text), "(?iU)" + pattern, 1), F.lit(""))
+    t = _col(text)
+    found = F.nullif(F.regexp_extract(t, "(?iU)" + pattern, 1), F.lit(""))
+    if pattern == rules.PHONE_PATTERN:
+        # Every match holds one of the cue words: test them before the regex.
+        found = F.when(contains_any(F.lower(t), PHONE_CUES), found)
     return F.regexp_replace(found, " ", "")
 
 
+# Lower-case stems of the phone cue words (Tel[eé]fono, Contacto, llamar, comunicate).
+PHONE_CUES = ["tel", "contacto", "llamar", "comunicate"]
+
+
 def py_word(pattern: str) -> str:
     """Spell Python's Unicode ``\\w`` as an explicit class both Java regex and RE2 read."""
     return pattern.replace(r"[\w", r"[\p{L}\p{N}_").replace(r"\w", r"[\p{L}\p{N}_]")
@@ -196,7 +204,8 @@ def py_word(pattern: str) -> str:
 
 def mail(text, pattern: str = rules.MAIL_PATTERN) -> Column:
     """T13b. First e-mail address."""
-    return F.nullif(F.regexp_extract(_col(text), "(?i)" + py_word(pattern), 0), F.lit(""))
+    t = _col(text)
+    return F.when(t.contains("@"), F.nullif(F.regexp_extract(t, "(?i)" + py_word(pattern), 0), F.lit("")))
 
 
 def payment_labels(text, patterns: Sequence[tuple[str, str]] = rules.PAYMENT_PATTERNS) -> Column:
@@ -208,10 +217,19 @@ def payment_labels(text, patterns: Sequence[tuple[str, str]] = rules.PAYMENT_PAT
     t = F.regexp_replace(_col(text), "<[^>]+>", " ")
     t = F.regexp_replace(t, r"\\[nrtbf]", " ")
     folded = fold(unescape(t))
-    hits = [F.when(folded.rlike("(?iU)" + pat), F.lit(label)) for label, pat in patterns]
+    # A cheap substring test gates each regex: a match implies the literal.
+    hits = [F.when(folded.contains(required_literal(pat)) & folded.rlike("(?iU)" + pat), F.lit(label))
+            for label, pat in patterns]
     return F.array_sort(F.filter(F.array(*hits), lambda x: x.isNotNull()))
 
 
+def required_literal(pattern: str) -> str:
+    """A lower-case word every match of ``pattern`` contains: its first run of
+    three or more letters once escapes and optional parts are removed."""
+    bare = re.sub(r"\\[a-zA-Z]|\[[^\]]*\][?*]?|.[?*]", " ", pattern)
+    return re.search(r"[a-z]{3,}", bare).group(0)
+
+
 def decimal_from_text(c, style: str = "plain", precision: int = 10, scale: int = 2) -> Column:
     """C6. Price text -> decimal. ``plain`` keeps digits and dots (the source
     rule, so ``1.500,00`` reads 1.50); ``comma`` reads ``.`` as thousands and
