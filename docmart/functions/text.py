@@ -30,20 +30,30 @@ def char_class(chars: str) -> str:
 
 
 def strip_chars(c, chars: str) -> Column:
-    """Python ``str.strip(chars)``."""
-    cls = char_class(chars)
-    return F.regexp_replace(_col(c), f"^{cls}+|{cls}+\\z", "")
+    """Python ``str.strip(chars)`` (looks at the two ends only)."""
+    return F.btrim(_col(c), F.lit(chars))
 
 
 def strip_ws(c) -> Column:
     """Python ``str.strip()``."""
-    return F.regexp_replace(_col(c), f"^{WS}+|{WS}+\\z", "")
+    return F.btrim(_col(c), F.lit(rules.WS_CHARS))
 
 
 def collapse_ws(c) -> Column:
     return F.regexp_replace(_col(c), f"{WS}+", " ")
 
 
+def let(c, fn) -> Column:
+    """``fn(x)`` with ``x`` bound to ``c`` evaluated once per row.
+
+    Catalyst does not share a subexpression between a CASE predicate and its
+    branches, so an expensive expression referenced several times inside
+    ``when`` would be computed each time; binding it through a one-element
+    array and ``transform`` computes it once.
+    """
+    return F.transform(F.array(_col(c)), fn)[0]
+
+
 def capitalize_first(c) -> Column:
     """``s[0].upper() + s[1:]``."""
     c = _col(c)
@@ -75,8 +85,10 @@ def unescape_many(cols) -> list[Column]:
 
 def clean_html(c) -> Column:
     """T1. NULL or '' -> NULL; decode entities, then tags -> space, collapse, trim."""
-    c = _col(c)
-    return F.when(c.isNull() | (c == ""), F.lit(None).cast("string")).otherwise(strip_tags_text(unescape(c)))
+    # Decoding keeps NULL and '' as they are, so the test can run on its result,
+    # which is bound once (see ``let``).
+    return let(unescape(c), lambda x: F.when(x.isNull() | (x == ""), F.lit(None).cast("string"))
+               .otherwise(strip_tags_text(x)))
 
 
 def fold(c) -> Column:
@@ -125,7 +137,10 @@ def classify_link(link, patterns: Sequence[tuple[str, str]] = rules.PLATFORM_PAT
                   web_label: str = rules.PLATFORM_WEB) -> Column:
     """T6 classifier: ordered host patterns (first wins) -> (name, link);
     excluded host or file link -> NULLs; other ``http*`` -> (web_label, link)."""
-    link = _col(link)
+    return let(link, lambda x: _classify(x, patterns, excluded_host, extensions, web_label))
+
+
+def _classify(link: Column, patterns, excluded_host, extensions, web_label) -> Column:
     none = F.lit(None).cast("string")
     name = F.when(link.isNull(), none)
     for label, pat in patterns:
@@ -135,8 +150,8 @@ def classify_link(link, patterns: Sequence[tuple[str, str]] = rules.PLATFORM_PAT
             .when(link.rlike(ext), none)
             .when(link.startswith("http"), F.lit(web_label))
             .otherwise(none))
-    return F.struct(name.alias("NOMBRE_PLATAFORMA"),
-                    F.when(name.isNotNull(), link).alias("LINK_PLATAFORMA"))
+    return let(name, lambda n: F.struct(n.alias("NOMBRE_PLATAFORMA"),
+                                        F.when(n.isNotNull(), link).alias("LINK_PLATAFORMA")))
 
 
 def platform(html) -> Column:
@@ -158,7 +173,7 @@ def clean_title(c, connectors: Sequence[str] = rules.TITLE_CONNECTORS,
     t = F.regexp_replace(t, f"^[{rules.WS_CLASS},.-]+", "")
     t = F.regexp_replace(t, "(?i)^(" + "|".join(connectors) + f"){WS}+", "")
     t = strip_ws(t)
-    return F.when(F.length(t) >= min_len, capitalize_first(t))
+    return let(t, lambda x: F.when(F.length(x) >= min_len, capitalize_first(x)))
 
 
 def contains_any(c, words: Iterable[str]) -> Column:

@@ -440,3 +440,20 @@ SELECT s_suppkey, name AS NOMBRE_DEPENDENCIA, 'Contacto Teléfono: ' || phone ||
        hours AS HORARIO_DEPENDENCIA, address AS DIRECCION_DEPENDENCIA, phone AS TELEFONO_DEPENDENCIA,
        mail AS MAIL_ATENCION, CASE WHEN contains(lower(name), 'ministerio') THEN name END AS DEPENDENCIA_MINISTERIO
 FROM v""")
+
+oracle("procedures_main_table", f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS CODIGO_TRAMITE,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS FECHA_ALTA_TRAMITE,
+       strftime(o_orderdate + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS FECHA_ULT_MODIFICACION_TRAMITE,
+       'Pedido ' || CAST(o_orderkey AS VARCHAR) AS NOMBRE,
+       'Prioridad ' || o_orderpriority || CASE WHEN o_orderstatus = 'F' THEN ' Nivel 2' ELSE '' END AS FINALIDAD,
+       CAST(o_custkey AS VARCHAR) AS ID_DEPENDENCIA, '1' AS ID_TIPO_TRAMITE,
+       CASE WHEN o_orderstatus = 'F' THEN 2 END AS NIVEL_MIBA,
+       CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS VARCHAR) AS MONTO_COSTO,
+       o_orderpriority AS CONCEPTO_PAGO,
+       CASE WHEN o_totalprice > 0 THEN 'Y' ELSE 'N' END AS REQUIERE_PAGO,
+       CASE WHEN o_orderstatus = 'F' THEN {lit(rules.TARIFF_LAW_MARKER)} END AS MARCO_NORMATIVO,
+       'https://tad.buenosaires.gob.ar/t/' || CAST(o_orderkey AS VARCHAR) AS CANAL_TURNO,
+       CAST(NULL AS VARCHAR) AS FECHA_BAJA_TRAMITE, {lit(rules.NOT_SPECIFIED)} AS TIEMPO_RESPUESTA_ESTIMADO,
+       CAST(NULL AS VARCHAR) AS CONCLUSION_TRAMITACION_DOC, CAST(o_orderkey AS VARCHAR) AS ID_TRAMITE
+FROM orders""")

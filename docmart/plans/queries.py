@@ -613,3 +613,80 @@ def organisation_profile(spark, sf_dir):
         F.lit(" contacto"), key, F.lit("@x.gob.ar</p>"))
     orgs = mining.organisations(s.select("s_suppkey", html.alias("html")), "s_suppkey", "html")
     return orgs.select("s_suppkey", *mining.ORG_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+# The two jobs end to end (M6) on records derived from the given tables
+# ---------------------------------------------------------------------------
+
+LANDING_TS = "2024-02-01 06:00:00"
+
+
+def order_records(spark, sf_dir):
+    """Each order as a nested content record (RAW_SCHEMA), built row by row:
+    body with the priority (and a level for final orders), the customer as the
+    owning organisation, the urgent modality, and three blocks: a cost item, a
+    norms paragraph (tariff law for final orders) and one appointment step."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    final = F.col("o_orderstatus") == "F"
+    epoch = F.unix_timestamp("o_orderdate")
+    block = lambda bid, typ, fields: F.struct(F.lit(bid).alias("id"), F.lit(typ).alias("type"), fields.alias("fields"))
+    empty = {"title": F.lit(None).cast("string"), "body": F.lit(None).cast("array<string>"),
+             "field_subtitulo": F.lit(None).cast("string"),
+             "items": F.lit(None).cast("struct<id:string,type:string,fields:struct<field_name:string,field_price:string>>"),
+             "field_items_paso_tramite": F.lit(None).cast(
+                 "array<struct<id:string,type:string,fields:struct<title:string,body:string>>>")}
+
+    def fields(**kw):
+        return F.struct(*[(kw.get(k, v)).alias(k) for k, v in empty.items()])
+
+    cost = block("c1", rules.BLOCK_COSTS, fields(items=F.struct(
+        F.lit("i1").alias("id"), F.lit("item").alias("type"),
+        F.struct(F.col("o_orderpriority").alias("field_name"), price_text(F.col("o_totalprice")).alias("field_price"))
+        .alias("fields"))))
+    norm = block("c2", rules.BLOCK_PARAGRAPH, fields(
+        title=F.lit("Normativa aplicable"),
+        body=F.array(F.when(final, F.lit("<p>Ley tarifaria vigente</p>")).otherwise(F.lit("<p>Sin cambios</p>")))))
+    step_body = F.concat(F.lit('<p>Pedí un turno en <a href="https://tad.buenosaires.gob.ar/t/'), key,
+                         F.lit('">TAD</a></p>'))
+    step = block("c3", rules.BLOCK_STEPS, fields(field_items_paso_tramite=F.array(F.struct(
+        F.lit("s1").alias("id"), F.lit("paso").alias("type"),
+        F.struct(F.lit("Solicitar turno").alias("title"), step_body.alias("body")).alias("fields")))))
+    org_html = F.concat(F.lit("<h3>Organismo</h3><p>Cliente "), F.col("o_custkey").cast("string"), F.lit("</p>"))
+    return o.select(
+        key.alias("id"), F.lit("tramite").alias("type"), F.concat(F.lit("Pedido "), key).alias("title"),
+        epoch.cast("string").alias("created"), (epoch + 3600).cast("string").alias("changed"),
+        F.concat(F.lit("/t/"), key).alias("url"),
+        F.struct(
+            F.concat(F.lit("<p>Prioridad "), F.col("o_orderpriority"),
+                     F.when(final, F.lit(" Nivel 2")).otherwise(F.lit("")), F.lit("</p>")).alias("body"),
+            F.concat(F.lit("Pedido "), key).alias("title"), F.lit("es").alias("langcode"),
+            F.lit(None).cast("struct<id:string,title:string,url:string>").alias("field_areas"),
+            F.struct(F.col("o_custkey").cast("string").alias("id"), F.struct(org_html.alias("body")).alias("fields"))
+            .alias("field_organismos"),
+            F.array(F.struct(F.when(F.col("o_orderpriority") == URGENT, F.lit(rules.IN_PERSON_MODALITY))
+                             .otherwise(F.lit("1")).alias("target_id"))).alias("field_tramite_modalidad"),
+            F.array(cost, norm, step).alias("field_content"),
+        ).alias("fields"),
+        F.lit(LANDING_TS).cast("timestamp").alias("landed_at"))
+
+
+@query
+def procedures_main_table(spark, sf_dir):
+    """M6: orders as nested records -> landed as dated JSON (S1) -> raw_to_staging
+    -> staging_to_consume; the wide main table, arrays and timestamps as text."""
+    from docmart.plans import medallion
+
+    base = shared_dir(spark, "procedures")
+    landing.land_json(order_records(spark, sf_dir), base + "/raw", "landed_at")
+    staging = medallion.raw_to_staging(spark, base + "/raw", base + "/staging", multiline=False)
+    main = medallion.staging_to_consume(spark, staging)["tramites"]
+    ts = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return main.select(
+        "CODIGO_TRAMITE", ts("FECHA_ALTA_TRAMITE"), ts("FECHA_ULT_MODIFICACION_TRAMITE"), "NOMBRE", "FINALIDAD",
+        "ID_DEPENDENCIA", "ID_TIPO_TRAMITE", "NIVEL_MIBA",
+        F.array_join(F.transform("MONTO_COSTO", lambda x: x.cast("string")), "|").alias("MONTO_COSTO"),
+        F.array_join("CONCEPTO_PAGO", "|").alias("CONCEPTO_PAGO"), "REQUIERE_PAGO", "MARCO_NORMATIVO",
+        "CANAL_TURNO", ts("FECHA_BAJA_TRAMITE"), "TIEMPO_RESPUESTA_ESTIMADO", "CONCLUSION_TRAMITACION_DOC",
+        "ID_TRAMITE")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from docmart import rules
 from docmart.functions.arrow import fold_one
-from docmart.functions.text import KEY_NULL, char_class, py_word
+from docmart.functions.text import KEY_NULL, py_word
 
 WS = rules.WS
 
@@ -35,12 +35,11 @@ def collapse(e: str) -> str:
 
 
 def strip_ws(e: str) -> str:
-    return f"regexp_replace({e}, '^{WS}+|{WS}+\\z', '', 'g')"
+    return f"trim({e}, {lit(rules.WS_CHARS)})"
 
 
 def strip_chars(e: str, chars: str) -> str:
-    cls = char_class(chars)
-    return f"regexp_replace({e}, {lit('^' + cls + '+|' + cls + '+' + chr(92) + 'z')}, '', 'g')"
+    return f"trim({e}, {lit(chars)})"
 
 
 def strip_tags_text(e: str) -> str:

@@ -155,3 +155,5 @@ WS_CLASS = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 WS = "[" + WS_CLASS + "]"
+# The same characters as a plain set (for trimming), derived from Python itself.
+WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
