@@ -101,7 +101,8 @@ plain = st.text(alphabet=st.characters(blacklist_characters="<>&", blacklist_cat
 def test_clean_html_idempotent_on_plain_text(spark, texts):
     once = many(spark, X.clean_html, texts)
     twice = many(spark, X.clean_html, once)
-    assert once == twice
+    # Whitespace-only text cleans to '' and '' cleans to NULL (source rule).
+    assert twice == [o if o else None for o in once]
 
 
 @settings(max_examples=30, deadline=None)
