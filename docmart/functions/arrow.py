@@ -34,12 +34,24 @@ def unescape_one(x):
     return html.unescape(x) if "&" in x else x
 
 
+_DROP_COMBINING = None
+
+
+def _drop_combining() -> dict:
+    """Translation table deleting every character with a non-zero combining
+    class (built once per worker, from the Unicode database)."""
+    global _DROP_COMBINING
+    if _DROP_COMBINING is None:
+        _DROP_COMBINING = {c: None for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c))}
+    return _DROP_COMBINING
+
+
 def fold_one(x):
     """Accent-free, lower-case text with whitespace runs collapsed; NULL -> ''."""
     if not x:
         return ""
     if not x.isascii():
-        x = "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
+        x = unicodedata.normalize("NFKD", x).translate(_drop_combining())
     return " ".join(x.split()).lower()
 
 
