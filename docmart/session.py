@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job needs regardless of cluster size.
@@ -69,17 +68,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return checkpoint_base(spark).rstrip("/") + "/" + name + "-" + uuid.uuid4().hex[:12]
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and
+    read it back.
 
-    Cuts the lineage of an intermediate that several branches read (so it is
-    computed once and survives lost executors); the hash partitioning it was
-    written with is kept, so readers partitioned on the same key do not shuffle.
+    Cuts the lineage of an intermediate that several branches read, so it is
+    computed once (one job, columnar and compressed, no cache held) and a lost
+    executor only re-reads files.
     """
-    checkpoint_base(df.sparkSession)
-    # Cached first, so the checkpoint write reads the result instead of
-    # computing the plan a second time; the cache is dropped once written.
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+    path = shared_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
