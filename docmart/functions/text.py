@@ -24,10 +24,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def char_class(chars: str) -> str:
-    """A regex character class matching exactly ``chars``."""
-    return "[" + "".join("\\" + ch if ch in "\\]^-[" else ch for ch in chars) + "]"
-
 
 def strip_chars(c, chars: str) -> Column:
     """Python ``str.strip(chars)`` (looks at the two ends only)."""
