@@ -96,7 +96,8 @@ def label_dictionary(spark, sf_dir):
     """T5 + G4: payment-method labels found in each document, one row each."""
     docs = table(spark, sf_dir, "documents")
     labels = docs.select("doc_id", X.payment_labels("text").alias("labels"))
-    return labels.select("doc_id", F.explode("labels").alias("NOMBRE_MEDIO_PAGO"))
+    return labels.select("doc_id", F.explode_outer("labels").alias("NOMBRE_MEDIO_PAGO")) \
+        .filter(F.col("NOMBRE_MEDIO_PAGO").isNotNull())
 
 
 @query
