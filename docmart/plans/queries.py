@@ -365,7 +365,8 @@ def label_bridge(spark, sf_dir):
     arr = F.filter(F.array(F.when(F.col("quality") == 1, F.lit("quality")),
                            F.when(F.col("toxic") == 1, F.lit("toxic")),
                            F.concat(F.lit("lang:"), F.col("lang"))), lambda x: x.isNotNull())
-    rows = labels.join(docs, "doc_id").select("doc_id", F.explode(arr).alias("NOMBRE_MEDIO_PAGO"))
+    rows = labels.join(docs, "doc_id").select("doc_id", F.explode_outer(arr).alias("NOMBRE_MEDIO_PAGO")) \
+        .filter(F.col("NOMBRE_MEDIO_PAGO").isNotNull())
     return star.build_fact(rows, ["NOMBRE_MEDIO_PAGO"], ["doc_id", "NOMBRE_MEDIO_PAGO"], "ID_MEDIO_PAGO")
 
 
