@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,23 +41,23 @@ def get_session(master: str | None = None, app: str = "docmart", **conf: str) ->
 def apply_required_conf(spark: SparkSession) -> None:
     """Set the runtime-settable part of REQUIRED_CONF on an existing session."""
     for k, v in REQUIRED_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a session we did not build
-            pass
+        spark.conf.set(k, v)
 
 
 def checkpoint_base(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local runs, tests) is a
-    local folder created and registered.
+    Read from the session. Only a local master may leave it unset (tests, single machine): then
+    a local folder is created and registered. On a cluster executors would each write to
+    their own disk and later reads would miss rows, so an unset folder raises there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         cur = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = cur.get() if cur.isDefined() else None
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="docmart-")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(base)
