@@ -4,10 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docmart.llm import exact_dedup, sharding
+from docmart.llm import exact_dedup, langid, mixing, sentencepiece_codec, sharding, simhash
 from docmart.llm.common import read
 
 
+def tokenizer_path() -> str:
+    """Where the public vocabulary lies; a parameter of the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to source weights 5, 2, 1 in turn along a curriculum."""
+    return mixing.Mix(read(spark, sf_dir, "documents")).documents()
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the rows that are not held out."""
+    return langid.label(read(spark, sf_dir, "documents"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to pieces and decoded again."""
+    return sentencepiece_codec.digest(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of 4-word shingles; components of distances of at most 4 bits."""
+    return simhash.label(read(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of every document after normalising spaces."""
     return exact_dedup.label(read(spark, sf_dir, "documents"))
@@ -19,5 +46,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op8_exact_dedup, op10_sharding,
+    op1_mixing, op4_language_id, op6_sentencepiece, op7_simhash, op8_exact_dedup, op10_sharding,
 )}
