@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docmart.llm import exact_dedup, langid, mixing, sentencepiece_codec, sharding, simhash
+from docmart.llm import exact_dedup, langid, mixing, sentencepiece_codec, sharding, simhash, substring_dedup
 from docmart.llm.common import read
 
 
@@ -20,6 +21,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(read(spark, sf_dir, "documents")).documents()
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 50 words that an earlier document holds, cut from every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.dedup(docs, window=50).select(
+        "doc_id", "cut.n_words", "cut.n_removed", F.sha2("cut.kept", 256).alias("kept_sha256"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the rows that are not held out."""
     return langid.label(read(spark, sf_dir, "documents"))
@@ -46,5 +54,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mixing, op4_language_id, op6_sentencepiece, op7_simhash, op8_exact_dedup, op10_sharding,
+    op1_mixing, op2_substring_dedup, op4_language_id, op6_sentencepiece, op7_simhash, op8_exact_dedup, op10_sharding,
 )}
