@@ -180,7 +180,10 @@ def train(docs: DataFrame, per_lang: int = 10_000, alpha: float = 0.5, max_langs
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` and a struct column ``language`` (lang_pred, score), from ``text`` alone."""
+    """``docs`` and a struct column ``language`` (lang_pred, score), from ``text`` alone.
+
+    A column ``language`` of the input is replaced.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.prior, model.logp))
 
     @F.arrow_udf(_RESULT)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from docmart.llm import licenses
+
 NORMALISED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
 EXACT_DEDUP = f"""
@@ -18,6 +20,65 @@ SELECT doc_id,
 FROM t
 """
 
+
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical_lines(text: str) -> str:
+    """The canonical form of ``licenses.canonical_lines``."""
+    out = f"translate(coalesce({text}, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
+    out = f"regexp_replace({out}, {_quote(licenses.COPYRIGHT_LINE)}, '', 'g')"
+    out = f"regexp_replace({out}, {_quote(licenses.MARKS)}, ' ', 'g')"
+    out = f"replace(replace({out}, chr(10) || ' ', chr(10)), ' ' || chr(10), chr(10))"
+    out = f"replace(' ' || replace({out}, chr(10), ' ' || chr(10) || ' ') || ' ', ' ', '  ')"
+    for old, new in licenses.SPELLINGS:
+        out = f"replace({out}, ' {old.replace(' ', '  ')} ', ' {new.replace(' ', '  ')} ')"
+    return out
+
+
+def _one_line(lines: str) -> str:
+    return f"trim(regexp_replace({lines}, '[ \\n]+', ' ', 'g'))"
+
+
+LICENSE_SCAN = f"""
+WITH known AS (
+  SELECT digest, min(license) AS license
+  FROM (SELECT license, sha256({_one_line('lines')}) AS digest
+        FROM (SELECT license, {_canonical_lines('known')} AS lines
+              FROM (VALUES {', '.join(f"({_quote(a)}, {_quote(b)})" for a, b in licenses.KNOWN)}) AS v(license, known)))
+  GROUP BY digest
+), docs AS (
+  SELECT doc_id, row_number() OVER () AS row_no, {_canonical_lines('text')} AS lines FROM documents
+), notices AS (
+  SELECT row_no, string_agg(license, ' ' ORDER BY place) AS notices
+  FROM (SELECT row_no, unnest(string_split(lines, chr(10))) AS line,
+               generate_subscripts(string_split(lines, chr(10)), 1) AS place FROM docs)
+  JOIN known ON sha256(trim(replace(line, '  ', ' '))) = digest
+  GROUP BY row_no
+)
+SELECT doc_id, sha256({_one_line('lines')}) AS canonical_sha256, license, coalesce(notices, '') AS notices
+FROM docs LEFT JOIN known ON sha256({_one_line('lines')}) = digest LEFT JOIN notices USING (row_no)
+"""
+
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top
+  FROM pages
+)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (1 + ((('0x' || substr(hex, (1 + 10 * (i // 8))::INT, 10))::BIGINT >> (35 - 5 * (i % 8))::INT) & 31))::INT, 1)), '') AS payload_digest,
+       CASE WHEN top IS NULL OR page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN top IS NULL OR page_id = top THEN NULL ELSE top END AS refers_to,
+       true AS intact
+FROM p
+"""
+
 ORACLES = {
+    "op5_warc": WARC,
     "op8_exact_dedup": EXACT_DEDUP,
+    "op9_license_scan": LICENSE_SCAN,
 }

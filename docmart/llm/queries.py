@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmart.llm import exact_dedup, langid, mixing, sentencepiece_codec, sharding, simhash, substring_dedup
+from docmart.llm import exact_dedup, langid, licenses, mixing, quality, sentencepiece_codec, sharding, simhash, substring_dedup, warc
 from docmart.llm.common import read
 
 
@@ -28,11 +28,21 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "cut.n_words", "cut.n_removed", F.sha2("cut.kept", 256).alias("kept_sha256"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures, base rules and the verdict of the voting rules for every document."""
+    return quality.judge(read(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the rows that are not held out."""
     return langid.label(read(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back by verified boundary chains."""
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded to pieces and decoded again."""
     return sentencepiece_codec.digest(read(spark, sf_dir, "documents"), tokenizer_path())
@@ -48,11 +58,16 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.label(read(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences among whole documents, and known notices among their lines."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of eight shards of near-equal bytes."""
     return sharding.shard(read(spark, sf_dir, "documents"), shards=8)
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mixing, op2_substring_dedup, op4_language_id, op6_sentencepiece, op7_simhash, op8_exact_dedup, op10_sharding,
+    op1_mixing, op2_substring_dedup, op3_quality, op4_language_id, op5_warc, op6_sentencepiece, op7_simhash, op8_exact_dedup, op9_license_scan, op10_sharding,
 )}

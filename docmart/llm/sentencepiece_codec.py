@@ -187,7 +187,8 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
     """``docs`` and a struct column ``pieces``: ids (packed) and the text decoded from them.
 
     NULL texts count as empty (begin and end ids only). Any number of rows, repeated rows
-    included; an empty table gives an empty result. ``model_path`` is read on the driver.
+    included; an empty table gives an empty result. A column ``pieces`` of the input is replaced.
+    ``model_path`` is read on the driver.
     """
     with open(model_path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())

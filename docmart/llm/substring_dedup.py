@@ -223,7 +223,7 @@ def _cut(text: pa.Array, items: pa.Array) -> pa.Array:
 
 def dedup(docs: DataFrame, window: int = 50, inner: int = 12) -> DataFrame:
     """``docs`` and a struct ``cut``: n_words, n_removed, the kept words joined by one space, and
-    the removed intervals (first word, word after the last).
+    the removed intervals (first word, word after the last). A column ``cut`` of the input is replaced.
 
     Windows are judged on the input texts; a window goes if it also starts in a document with a
     smaller doc_id, so repeats within one document stay. NULL and blank texts have no words.
@@ -232,6 +232,7 @@ def dedup(docs: DataFrame, window: int = 50, inner: int = 12) -> DataFrame:
     """
     from docmart.llm.common import pack_doc
 
+    docs = docs.drop("cut")
     items = repeats(docs.select("doc_id", "text"), window, inner)
     place, tie = _identity(docs)
     return (docs.select(pack_doc(docs), place, tie, F.col("text").cast("binary").alias("text"))
