@@ -58,7 +58,7 @@ def test_mix_hits_targets(spark, seed, pieces):
         assert 0 <= r["taken"] <= 3 * r["size"]
         taken[s] += r["taken"]
     for s in sizes:
-        assert abs(taken[s] - want[s]) <= 5
+        assert abs(taken[s] - want[s]) <= 0.005 * want[s]  # whole documents of up to 80 words
 
 
 def test_mix_caps_small_sources_and_reshares(spark):
