@@ -682,7 +682,7 @@ def procedures_main_table(spark, sf_dir):
 
     base = shared_dir(spark, "procedures")
     landing.land_json(order_records(spark, sf_dir), base + "/raw", "landed_at")
-    staging = medallion.raw_to_staging(spark, base + "/raw", base + "/staging", multiline=False)
+    staging = medallion.raw_to_staging(spark, base + "/raw", base + "/staging")
     main = medallion.staging_to_consume(spark, staging)["tramites"]
     ts = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
     return main.select(
