@@ -457,3 +457,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS CODIGO_TRAMITE,
        CAST(NULL AS VARCHAR) AS FECHA_BAJA_TRAMITE, {lit(rules.NOT_SPECIFIED)} AS TIEMPO_RESPUESTA_ESTIMADO,
        CAST(NULL AS VARCHAR) AS CONCLUSION_TRAMITACION_DOC, CAST(o_orderkey AS VARCHAR) AS ID_TRAMITE
 FROM orders""")
+
+from docmart.plans import procedures_sql  # noqa: E402
+
+oracle("staging_roundtrip", procedures_sql.STAGING)
+oracle("consume_tables", procedures_sql.CONSUME)
