@@ -24,8 +24,24 @@ from pyspark.sql import types as T
 # Ship these helpers to executors by value: workers need only pyarrow and the standard library.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Python's str.isspace() characters within ASCII, for the vectorised path.
-_ASCII_WS = r"[\t\n\x0b\f\r\x1c-\x1f ]+"
+
+
+def _char_class(test) -> str:
+    """A regex class of the code points that pass, as ranges."""
+    out, start = [], None
+    for c in range(0x110001):
+        hit = c < 0x110000 and not 0xD800 <= c < 0xE000 and test(chr(c))
+        if hit and start is None:
+            start = c
+        elif not hit and start is not None:
+            out.append(f"\\x{{{start:x}}}-\\x{{{c - 1:x}}}")
+            start = None
+    return "[" + "".join(out) + "]"
+
+
+# Combining marks (those NFKD leaves behind), and str.isspace() characters.
+_MARKS = _char_class(unicodedata.combining) + "+"
+_SPACES = _char_class(str.isspace) + "+"
 
 
 def unescape_one(x):
@@ -56,9 +72,12 @@ def unescape_values(a: pa.Array) -> pa.Array:
 
 
 def fold_values(a: pa.Array) -> pa.Array:
+    """``fold_one`` of each value in vectorised kernels; only texts with a capital sigma, whose
+    lower case depends on its place, go one by one."""
     a = pc.fill_null(a, "")
-    fast = pc.utf8_lower(pc.utf8_trim(pc.replace_substring_regex(a, _ASCII_WS, " "), " "))
-    return _patch_from(fast, a, pc.invert(pc.fill_null(pc.string_is_ascii(a), True)), fold_one)
+    bare = pc.replace_substring_regex(pc.utf8_normalize(a, form="NFKD"), _MARKS, "")
+    fast = pc.utf8_lower(pc.utf8_trim(pc.replace_substring_regex(bare, _SPACES, " "), " "))
+    return _patch_from(fast, a, pc.match_substring(bare, "Σ"), fold_one)
 
 
 def _patch_from(out: pa.Array, src: pa.Array, mask: pa.Array, fn) -> pa.Array:

@@ -123,7 +123,9 @@ def first_href(html) -> Column:
     """The href of the first ``<a>`` tag that has one (any quoting), entities decoded."""
     h = _col(html)
     pattern = rf"(?is)<a{WS}(?:[^>]*?{WS})?href{WS}*={WS}*(?:\"([^\"]*)\"|'([^']*)'|([^{rules.WS_CLASS}\"'>]+))"
-    raw = F.coalesce(*[F.nullif(F.regexp_extract(h, pattern, g), F.lit("")) for g in (1, 2, 3)])
+    # The page is searched once; the quoting form is then read off the short tag.
+    raw = let(F.regexp_extract(h, pattern, 0), lambda tag: F.coalesce(
+        *[F.nullif(F.regexp_extract(tag, pattern, g), F.lit("")) for g in (1, 2, 3)]))
     return unescape(raw)
 
 

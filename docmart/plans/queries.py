@@ -168,17 +168,14 @@ def type_router(spark, sf_dir):
         F.col("event_id").alias("id"),
         F.struct(F.col("event_type").alias("type"), F.col("props").alias("body")).alias("content"),
     ).alias("rec"))
-    branches = routing.route(ev, "rec.content.type", EVENT_ROUTES)
-    events = None
-    for name, df in branches.items():
-        part = df.select(F.lit("events").alias("tbl"), F.col("rec.id").alias("id"), F.lit(name).alias("route"))
-        events = part if events is None else events.unionByName(part)
-    docs = table(spark, sf_dir, "documents")
-    f2 = docs.filter(routing.title_contains("lang", "es", "text", "Para")).select(
-        F.lit("documents").alias("tbl"), F.col("doc_id").alias("id"), F.lit("es_para").alias("route"))
-    f3 = docs.filter(F.col("source") == "src3").select(
-        F.lit("documents").alias("tbl"), F.col("doc_id").alias("id"), F.lit("src3").alias("route"))
-    return events.unionByName(f2).unionByName(f3)
+    events = ev.select(F.lit("events").alias("tbl"), F.col("rec.id").alias("id"),
+                       routing.route_label("rec.content.type", EVENT_ROUTES).alias("route")).filter(F.col("route").isNotNull())
+    # A document may take both routes: one scan, one row per route taken.
+    taken = F.array(F.when(routing.title_contains("lang", "es", "text", "Para"), F.lit("es_para")),
+                    F.when(F.col("source") == "src3", F.lit("src3")))
+    docs = table(spark, sf_dir, "documents").select(
+        F.lit("documents").alias("tbl"), F.col("doc_id").alias("id"), F.explode_outer(taken).alias("route"))
+    return events.unionByName(docs.filter(F.col("route").isNotNull()))
 
 
 @query
