@@ -53,10 +53,11 @@ RULES = (
     Rule("words_not_short", "word_chars / n_words", 3.5, 2.0),
     Rule("words_not_long", "word_chars / n_words", 9.0, 14.0),
     Rule("few_symbols", "n_symbols / n_words", 0.02, 0.1),
-    Rule("little_punctuation", "n_punctuation / n_words", 0.35, 0.5),
-    Rule("few_repeated_lines", "n_dup_lines / n_lines", 0.1, 0.3),
-    Rule("few_repeated_words", "n_repeat_words / n_words", 0.05, 0.2),
-    Rule("few_capitals", "n_upper / n_words", 0.4, 1.5),
+    Rule("little_punctuation", "n_punctuation / greatest(n_words, 40)", 0.35, 0.5),
+    Rule("few_repeated_lines", "n_dup_lines / n_lines", 0.25, 0.4),
+    Rule("few_repeated_words", "n_repeat_words / n_words", 0.15, 0.2),
+    Rule("few_doubled_words", "n_doubled / greatest(n_words, 20)", 0.05, 0.3),
+    Rule("few_capitals", "n_upper / greatest(n_words, 20)", 0.4, 1.5),
     Rule("few_exclamations", "n_exclaim / n_words", 0.05, 0.2),
 )
 
@@ -88,6 +89,7 @@ def measure(docs: DataFrame) -> DataFrame:
     words = F.filter(F.split("text", SPACE), lambda w: w != "")
     window = F.transform(F.sequence(F.lit(1), F.col("n_words") - WINDOW + 1),
                          lambda i: F.xxhash64(F.slice("words", i, WINDOW)))
+    doubled = F.size(F.filter("words", lambda w, i: w == F.get("words", i - 1)))
     ordered = F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     chars = F.length(_without("text", SPACE_CHARS))
     return (
@@ -98,14 +100,14 @@ def measure(docs: DataFrame) -> DataFrame:
                 (F.length("text") - F.length(_without("text", PUNCTUATION))).alias("n_punctuation"),
                 (F.length("text") - F.length(_without("text", UPPER))).alias("n_upper"),
                 (F.length("text") - F.length(_without("text", "!"))).alias("n_exclaim"))
-        .select("doc_id", "words", F.size("words").alias("n_words"), "word_chars", "n_symbols", "n_punctuation", "n_upper", "n_exclaim",
+        .select("doc_id", "words", F.size("words").alias("n_words"), doubled.alias("n_doubled"), "word_chars", "n_symbols", "n_punctuation", "n_upper", "n_exclaim",
                 F.size("lines").alias("n_lines"),
                 (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"))
         .withColumn("hashes", F.when(F.col("n_words") >= WINDOW, window)).drop("words")
         .withColumn("ordered", F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"), ordered))
         .select("doc_id", *[F.col(c).cast("long").alias(c) for c in (
             "n_words", "word_chars", "n_symbols", "n_punctuation", "n_upper", "n_exclaim", "n_lines",
-            "n_dup_lines")],
+            "n_dup_lines", "n_doubled")],
             _repeat_words("ordered").alias("n_repeat_words")))
 
 
