@@ -262,7 +262,7 @@ SELECT user_id, arg_min(event_type, struct_pack(t := ts, e := event_id)) AS PRIM
 oracle("wide_main_table", f"""
 WITH c AS (
   SELECT o_custkey AS CODIGO_TRAMITE, o_orderpriority AS CONCEPTO,
-         {_price_dec.format(c=_price.format(c='o_totalprice'))} AS PRECIO_DEC FROM orders),
+         max({_price_dec.format(c=_price.format(c='o_totalprice'))}) AS PRECIO_DEC FROM orders GROUP BY ALL),
 costs AS ({_rollup_sql('c', 'CODIGO_TRAMITE')}),
 marker AS (SELECT o_custkey AS CODIGO_TRAMITE, 'Tiene pedidos urgentes' AS MARCO_NORMATIVO
            FROM orders WHERE regexp_matches(lower(o_orderpriority), 'urgent') GROUP BY o_custkey),
@@ -441,6 +441,25 @@ SELECT s_suppkey, name AS NOMBRE_DEPENDENCIA, 'Contacto Teléfono: ' || phone ||
        mail AS MAIL_ATENCION, CASE WHEN contains(lower(name), 'ministerio') THEN name END AS DEPENDENCIA_MINISTERIO
 FROM v""")
 
+_elements = f"""(
+  SELECT * FROM ({_geo}), (VALUES
+    (1, 'p', NULL, NULL), (2, 'h2', 'Nación', FALSE), (3, 'p', 'Nación', TRUE), (4, 'div', 'Nación', FALSE),
+    (5, 'p', 'Nación', TRUE), (6, 'h3', 'Saldo', FALSE), (7, 'p', 'Saldo', TRUE), (8, 'div', 'Saldo', FALSE))
+    AS e(place, tag, section_heading, run)
+  WHERE place <> 4 OR s_acctbal < 0)"""
+_element_text = f"""(CASE place WHEN 1 THEN 'Intro ' || r_name WHEN 2 THEN 'Nación' WHEN 3 THEN n_name WHEN 4 THEN 'Aviso'
+  WHEN 5 THEN 'Cliente ' || CAST(s_suppkey AS VARCHAR) WHEN 6 THEN 'Saldo' WHEN 7 THEN {_money.format(c='s_acctbal')}
+  WHEN 8 THEN 'Fin' END)"""
+# A block between heading and paragraph ends the run.
+_run = "(CASE WHEN place = 5 AND s_acctbal < 0 THEN FALSE WHEN place = 1 THEN NULL ELSE run END)"
+
+oracle("page_sections", f"""
+SELECT s_suppkey, tag, {_element_text} AS text, section_heading, {_run} AS in_run FROM {_elements}""")
+
+oracle("page_residual", f"""
+SELECT s_suppkey, string_agg({_element_text}, ' ' ORDER BY place) AS residual FROM {_elements}
+WHERE NOT coalesce({_run}, FALSE) AND tag NOT IN ('h2', 'h3') GROUP BY s_suppkey""")
+
 oracle("procedures_main_table", f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS CODIGO_TRAMITE,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS FECHA_ALTA_TRAMITE,

@@ -429,9 +429,10 @@ def wide_main_table(spark, sf_dir):
         F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("FINALIDAD"),
         F.when(F.col("c_nationkey") != 0, F.col("c_nationkey").cast("string")).alias("ID_DEPENDENCIA"))
     orders = table(spark, sf_dir, "orders")
-    costs = orders.select(
-        F.col("o_custkey").alias("CODIGO_TRAMITE"), F.col("o_orderpriority").alias("CONCEPTO"),
-        X.decimal_from_text(price_text(F.col("o_totalprice"))).alias("PRECIO_DEC"))
+    # One cost item per customer and priority (the highest price, combined map-side), so a
+    # customer's list is bounded by the priorities, however many orders there are.
+    costs = orders.groupBy(F.col("o_custkey").alias("CODIGO_TRAMITE"), F.col("o_orderpriority").alias("CONCEPTO")).agg(
+        F.max(X.decimal_from_text(price_text(F.col("o_totalprice")))).alias("PRECIO_DEC"))
     cost_agg = star.list_rollup(costs, "CODIGO_TRAMITE", "PRECIO_DEC", "CONCEPTO",
                                 "MONTO_COSTO", "CONCEPTO_PAGO", "MAX_COSTO", "REQUIERE_PAGO")
     marker = star.presence_marker(orders.withColumnRenamed("o_custkey", "CODIGO_TRAMITE"),
@@ -578,7 +579,7 @@ def requirements_flatten(spark, sf_dir):
 
 @query
 def documentation_catalogue(spark, sf_dir):
-    """H4 + T9 + T8 over each order rendered as an obligatory list (plain,
+    """T9 + T8 over each order rendered as an obligatory list (plain,
     named-link and generic-link items) and an optional paragraph."""
     o = table(spark, sf_dir, "orders")
     first = F.when(F.col("o_totalprice") > 200000, F.lit("y copia del pedido ")).otherwise(F.lit("Pedido "))
@@ -597,7 +598,7 @@ def documentation_catalogue(spark, sf_dir):
 
 @query
 def organisation_profile(spark, sf_dir):
-    """H4 + H5 + T13 over each supplier rendered as an organisation page."""
+    """T13 over each supplier rendered as an organisation page."""
     s = _supplier_geo(spark, sf_dir)
     key = F.col("s_suppkey").cast("string")
     addr = F.when(F.col("s_acctbal") >= 0,
@@ -614,6 +615,35 @@ def organisation_profile(spark, sf_dir):
     return orgs.select("s_suppkey", *mining.ORG_COLUMNS)
 
 
+def _supplier_sections(spark, sf_dir):
+    """Each supplier as a page of headings, paragraph runs (broken by a block where the balance
+    is negative) and text outside any section."""
+    s = _supplier_geo(spark, sf_dir)
+    broken = F.when(F.col("s_acctbal") < 0, F.lit("<div>Aviso</div>")).otherwise(F.lit(""))
+    html = F.concat(
+        F.lit("<p>Intro "), F.col("r_name"), F.lit("</p><h2>Nación</h2><p>"), F.col("n_name"), F.lit("</p>"), broken,
+        F.lit("<p>Cliente "), F.col("s_suppkey").cast("string"), F.lit("</p><h3>Saldo</h3><p>"), money(F.col("s_acctbal")),
+        F.lit("</p><div>Fin</div>"))
+    toks = html_rel.html_tokens(s.select("s_suppkey", html.alias("html")), "s_suppkey", "html")
+    return html_rel.elements(toks, "s_suppkey")
+
+
+@query
+def page_sections(spark, sf_dir):
+    """H4: every element with its section heading and whether it belongs to the heading's run."""
+    sec = html_rel.heading_sections(_supplier_sections(spark, sf_dir), "s_suppkey")
+    return sec.select("s_suppkey", "tag", "text", "section_heading", "in_run")
+
+
+@query
+def page_residual(spark, sf_dir):
+    """H5: what is left of each page without its headings and their runs."""
+    elems = _supplier_sections(spark, sf_dir)
+    sec = html_rel.heading_sections(elems, "s_suppkey")
+    used = sec.filter(F.coalesce(F.col("in_run"), F.lit(False)) | F.col("tag").isin(html_rel.HEADING_TAGS))
+    return html_rel.residual_text(elems, used, "s_suppkey")
+
+
 # ---------------------------------------------------------------------------
 # The two jobs end to end (M6) on records derived from the given tables
 # ---------------------------------------------------------------------------
