@@ -14,6 +14,14 @@ def oracle(name: str, sql: str) -> None:
     ORACLES[name] = sql.strip()
 
 
+def _cue(id_col: str, values: list[str]) -> str:
+    return f"list_extract([{', '.join(lit(v) for v in values)}], CAST({id_col} % {len(values)} + 1 AS INTEGER))"
+
+
+def _cued(name: str, id_col: str, text: str, values: list[str]) -> str:
+    return f"SELECT * REPLACE ({_cue(id_col, values)} || ' ' || {text} AS {text}) FROM {name}"
+
+
 oracle("html_clean", f"SELECT page_id, {S.clean_html('html')} AS text_clean FROM pages")
 
 oracle("text_fold", f"SELECT doc_id, {S.fold('text')} AS text_folded FROM documents")
@@ -70,10 +78,12 @@ _pay_hits = ", ".join(f"CASE WHEN regexp_matches(f, {lit('(?i)' + p)}) THEN {lit
                       for n, p in rules.PAYMENT_PATTERNS)
 oracle("label_dictionary", f"""
 SELECT doc_id, unnest(list_filter([{_pay_hits}], lambda x: x IS NOT NULL)) AS NOMBRE_MEDIO_PAGO
-FROM (SELECT doc_id, {_pay_text} AS f FROM documents)""")
+FROM (SELECT doc_id, {_pay_text} AS f FROM ({_cued('documents', 'doc_id', 'text', Q.PAYMENT_CUES)}))""")
 
 oracle("url_classifier", f"""
-WITH p AS (SELECT page_id, url, {S.first_href('html')} AS link FROM pages)
+WITH r AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN {_cue('page_id', Q.LINK_CUES)} ELSE url END AS url,
+                  '<a href="' || {_cue('page_id', Q.LINK_CUES)} || '">x</a> ' || html AS html FROM pages),
+p AS (SELECT page_id, url, {S.first_href('html')} AS link FROM r)
 SELECT page_id,
        {S.classify_link('url')} AS url_platform,
        CASE WHEN {S.classify_link('url')} IS NOT NULL THEN url END AS url_link,
@@ -98,10 +108,11 @@ SELECT doc_id,
        CASE WHEN {S.contains_any(S.fold('text'), rules.LEGAL_PERSON_WORDS)} THEN 'N' ELSE 'Y' END AS PERSONA_FISICA,
        CASE WHEN {S.contains_any(S.fold('text'), rules.OPTIONAL_WORDS)}
               OR contains({S.fold('lang')}, {lit(rules.OPTIONAL_SUBTITLE_WORD)}) THEN 'N' ELSE 'Y' END AS OBLIGATORIEDAD
-FROM documents""")
+FROM ({_cued('documents', 'doc_id', 'text', Q.PERSON_CUES)})""")
 
 oracle("contact_extract", f"""
-SELECT doc_id, {S.phone('text')} AS TELEFONO_DEPENDENCIA, {S.mail('text')} AS MAIL_ATENCION FROM documents""")
+SELECT doc_id, {S.phone('text')} AS TELEFONO_DEPENDENCIA, {S.mail('text')} AS MAIL_ATENCION
+FROM ({_cued('documents', 'doc_id', 'text', Q.PHONE_CUES)})""")
 
 oracle("type_router", """
 SELECT 'events' AS tbl, event_id AS id,

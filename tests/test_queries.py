@@ -5,7 +5,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from oracle_harness import compare, duck
+from oracle_harness import compare, constant_columns, duck
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
@@ -27,6 +27,17 @@ def test_query_matches_oracle(spark, con, name):
     assert not problems, problems
 
 
+# These queries must show every value that their rules can give, blanks included.
+CUED = {"label_dictionary", "url_classifier", "person_and_required_flags", "contact_extract", "max_level"}
+
+
+@pytest.mark.parametrize("name", sorted(CUED))
+def test_no_column_is_constant(spark, name):
+    df = queries()[name](spark, SF)
+    rows = [tuple(r) for r in df.collect()]
+    assert len(rows) >= 50 and constant_columns(df.columns, rows) == []
+
+
 def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0 and "CODIGO_TRAMITE" in df.columns
