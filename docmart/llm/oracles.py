@@ -62,6 +62,24 @@ SELECT doc_id, sha256({_one_line('lines')}) AS canonical_sha256, license, coales
 FROM docs LEFT JOIN known ON sha256({_one_line('lines')}) = digest LEFT JOIN notices USING (row_no)
 """
 
+SUBSTRING_DEDUP = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w)
+), firsts AS (
+  SELECT h, min(doc_id) AS first FROM windows GROUP BY h
+), cut AS (
+  SELECT doc_id, list(p) AS ps
+  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN firsts USING (h) WHERE doc_id > first)
+  GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed,
+       sha256(coalesce(array_to_string(list_filter(ws, lambda x, k: NOT list_contains(coalesce(ps, []), k)), ' '), '')) AS kept_sha256
+FROM w LEFT JOIN cut USING (doc_id)
+"""
+
 WARC = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex,
@@ -78,6 +96,7 @@ FROM p
 """
 
 ORACLES = {
+    "op2_substring_dedup": SUBSTRING_DEDUP,
     "op5_warc": WARC,
     "op8_exact_dedup": EXACT_DEDUP,
     "op9_license_scan": LICENSE_SCAN,
