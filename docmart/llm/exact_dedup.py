@@ -19,39 +19,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmart.llm.common import materialize, pack_doc, spaced, unpack_doc
+from docmart.llm.common import keep_rows, materialize, row_hash, spaced
 
 KEY = ["digest", "n_bytes", "check64"]
 
 
-def digest_runs(docs: DataFrame, carry: bool = False) -> DataFrame:
+def digest_runs(docs: DataFrame) -> DataFrame:
     """One row per document, written as one sorted run per input partition.
 
     ``rank`` orders the rows that may stay: smallest doc_id first, NULL ids last, then the hash
-    of the raw text and the row number, so that one row of a set of repeated rows is chosen.
-    ``carry`` keeps the whole document (as ``doc``) beside the digest.
+    of the whole row and the row number, so that one row of a set of repeated rows is chosen.
     """
     norm = spaced(F.col("text"))
     base = docs.select(
-        *([pack_doc(docs)] if carry else []),
         F.col("doc_id"),
         norm.alias("norm"),
-        F.xxhash64("text").alias("raw64"),
+        row_hash(docs).alias("row_hash"),
         F.spark_partition_id().alias("run"),
         F.monotonically_increasing_id().alias("row_no"),
     )
     runs = base.select(
-        *(["doc"] if carry else []),
-        "doc_id", "run", "row_no",
+        "doc_id", "run", "row_no", "row_hash",
         F.unhex(F.sha2("norm", 256)).alias("digest"),
         F.octet_length("norm").alias("n_bytes"),
         F.xxhash64("norm").alias("check64"),
         F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"),
-                 F.col("raw64").alias("raw64"), F.col("row_no").alias("row_no")).alias("rank"),
+                 F.col("row_hash").alias("row_hash"), F.col("row_no").alias("row_no")).alias("rank"),
     )
-    if not carry:
-        runs = runs.sortWithinPartitions("digest")
-    return materialize(runs, "digest_runs")
+    return materialize(runs.sortWithinPartitions("digest"), "digest_runs")
 
 
 def tree_merge(runs: DataFrame, bits: int = 4) -> DataFrame:
@@ -91,12 +86,8 @@ def label(docs: DataFrame, bits: int = 4) -> DataFrame:
 
 
 def dedup(docs: DataFrame, bits: int = 4) -> DataFrame:
-    """The documents that stay, with the input's columns (any extra columns included).
-
-    The documents are written once beside their digests; the merge reads the narrow columns
-    only, and the surviving row numbers select the documents.
-    """
-    runs = digest_runs(docs, carry=True)
-    groups = tree_merge(runs.drop("doc"), bits)
-    keep = groups.select(F.col("rank.row_no").alias("row_no"))
-    return unpack_doc(runs.select("row_no", "doc").join(keep, "row_no", "left_semi"))
+    """The documents that stay, with the input's columns (any extra columns included)."""
+    runs = digest_runs(docs)
+    groups = tree_merge(runs, bits)
+    keep = groups.select(F.col("rank.doc_id").alias("keep_id"), F.col("rank.row_hash").alias("keep_hash"))
+    return keep_rows(docs, runs, keep)

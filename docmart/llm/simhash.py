@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docmart.llm.common import materialize, pack_doc, unpack_doc
+from docmart.llm.common import keep_rows, materialize, row_hash
 from docmart.llm.components import components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this package
@@ -207,16 +207,16 @@ def label(docs: DataFrame, shingle: int = 4, radius: int = 4, tile: int = 32768,
 def dedup(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """One document of each component, with the input's columns: that with the smallest doc_id.
 
-    NULL ids stay only in components without an id. Of rows that repeat the smallest id one
-    stays. The documents are written once beside their fingerprints; groups and survivors are
-    found on narrow columns.
+    NULL ids stay only in components without an id. Of rows that repeat the smallest id that with the
+    smallest row hash stays. Groups and survivors are found on narrow columns.
     """
     rows = materialize(
-        with_fingerprint(docs.select(pack_doc(docs), "doc_id", "text"), shingle)
-        .select("doc", "doc_id", "fp", F.monotonically_increasing_id().alias("row_no")), "simhash_docs")
+        with_fingerprint(docs.select("doc_id", row_hash(docs).alias("row_hash"), "text"), shingle)
+        .select("doc_id", "row_hash", "fp"), "simhash_rows")
     root = groups(rows, radius)
-    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_no").alias("row_no")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("keep_id"),
+                           F.col("row_hash").alias("keep_hash")))
     by_fp = rows.groupBy("fp").agg(first.alias("best"))
     keep = (by_fp.join(root, "fp").groupBy("root").agg(F.min("best").alias("best"))
-            .select("best.row_no"))
-    return unpack_doc(rows.select("row_no", "doc").join(keep, "row_no", "left_semi"))
+            .select("best.keep_id", "best.keep_hash"))
+    return keep_rows(docs, rows, keep)
