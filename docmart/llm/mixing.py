@@ -125,7 +125,7 @@ class Mix:
 
     def __init__(self, docs: DataFrame, cycle: Sequence[Schedule] = CURRICULUM,
                  named: Mapping[str | None, Schedule] | None = None, cap: float = 3.0,
-                 rows_per_piece: int = 4096):
+                 rows_per_piece: int = 1024):
         self.docs = docs
         rows = materialize(_rows(docs, carry=False), "mix_rows")
         per = materialize(sources(rows, cycle, named or {}, cap, rows_per_piece), "mix_sources")
