@@ -137,7 +137,7 @@ def links(nodes: DataFrame, radius: int, tile: int = 32768, parts: int | None =
     """
     if parts is None:
         n = nodes.count()
-        parts = 1 if n < 1 << 20 else 2 if n < 1 << 24 else 4
+        parts = 1 if n < 1 << 19 else 2 if n < 1 << 22 else 4
     width = BITS // parts
     code = F.lit(0).cast("long")
     for i in range(parts):
@@ -145,10 +145,11 @@ def links(nodes: DataFrame, radius: int, tile: int = 32768, parts: int | None =
         mask -= (1 << BITS) if mask >= 1 << (BITS - 1) else 0
         code = code + F.shiftleft(F.bit_count(F.col("fp").bitwiseAND(F.lit(mask))).cast("long"), 7 * i)
     coded = nodes.select("fp", code.alias("code"))
-    # Cells larger than a tile are cut by a hash of the fingerprint.
+    # Cells larger than a tile are cut by a hash of the fingerprint. There are at most
+    # (width + 1) ** parts cells, 83,521 by default, so their sizes can be broadcast.
     sizes = coded.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / F.lit(tile)).alias("cuts"))
     tiles = materialize(
-        coded.join(sizes, "code")
+        coded.join(F.broadcast(sizes), "code")
         .groupBy("code", F.pmod(F.xxhash64("fp"), F.col("cuts")).alias("cut"))
         .agg(F.collect_list("fp").alias("fps")),
         "simhash_tiles")
