@@ -7,9 +7,10 @@ integral up to t, scaled to the target, is the source's cumulative demand of wor
 that starts after c words of its source's order is trained at the t where the demand reaches c, so
 positions are the inverse of the demand: a square root within a segment.
 
-A source's order is a hash of its documents. Whole passes over a source are followed by the
-part of a pass that fits the rest of its target, and by up to ``FILLERS`` documents, each the one that
-fits best what is then left, so the words taken come near the target with whole documents only.
+A source's order is a hash of its documents. Whole passes over a source are followed by a last pass
+that takes, along the order, every document that still fits the rest of the target; those that do
+not fit are skipped, however long they are. What is then left is below the smallest document not
+taken; if that one misses the target by less, it comes on top.
 
 Running sums are distributed: the hash order is cut into pieces of about ``rows_per_piece``
 documents, pieces are summed up, and only rows within a piece are numbered together. A source
@@ -102,6 +103,14 @@ def sources(rows: DataFrame, cycle: Sequence[Schedule], named: Mapping[str | Non
                     F.ceil(F.col("n") / F.lit(rows_per_piece)).alias("pieces")))
 
 
+BEFORE = W.partitionBy("skey").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
+
+
+def _takes() -> Column:
+    """Whether the rounds of the last pass take a document: those of the round its place is in."""
+    return F.col("size") <= F.element_at(F.filter("rounds", lambda x: x["since"] <= F.col("c")), -1)["gap"]
+
+
 def _piece(u: Column, pieces: Column) -> Column:
     """Which of the source's pieces holds a place; grows with the place."""
     share = (u / F.lit(2.0 ** 64)) + F.lit(0.5)
@@ -117,9 +126,6 @@ def _placed(rows: DataFrame, per: DataFrame, offsets: DataFrame) -> DataFrame:
             .withColumn("c", F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))))
 
 
-FILLERS = 4
-
-
 class Mix:
     """What a mix takes of each document, for narrow rows or for whole documents."""
 
@@ -132,52 +138,84 @@ class Mix:
         pieces = (rows.join(per.select("skey", "pieces"), "skey")
                   .groupBy("skey", _piece(F.col("u"), F.col("pieces")).alias("piece"))
                   .agg(F.sum("size").alias("size")))
-        before = W.partitionBy("skey").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
         self.offsets = materialize(pieces.select(
-            "skey", "piece", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset")), "mix_offsets")
-        placed = materialize(_placed(rows, per, self.offsets)
-                             .select("doc_id", "skey", "size", "c"), "mix_placed")
-        # The part of a pass that fits, then the document that fits the gap best.
-        fits = F.col("c") + F.col("size") <= F.col("part")
-        part = (placed.join(per.select("skey", "part"), "skey").filter(fits)
-                .groupBy("skey").agg(F.max(F.col("c") + F.col("size")).alias("filled")))
-        none = F.expr("cast(array() as array<bigint>)")
-        per = per.join(part, "skey", "left").select(
-            per["*"], F.coalesce("filled", F.lit(0).cast("long")).alias("filled"), none.alias("fillers"), none.alias("starts"))
-        for _ in range(FILLERS):
-            per = materialize(per, "mix_targets")
-            gap = F.col("part") - F.col("filled")
-            best = (placed.join(per.select("skey", "part", "filled", "fillers"), "skey")
-                    .filter(~fits & (F.col("size") > 0) & (F.col("size") < 2 * gap)
-                            & ~F.array_contains("fillers", F.col("c")))
-                    .groupBy("skey").agg(F.min_by(F.struct("c", "size"), F.struct(F.abs(F.col("size") - gap), F.col("c"))).alias("pick")))
-            add = F.col("pick").isNotNull()
-            per = per.join(best, "skey", "left").select(
-                *[c for c in per.columns if c not in ("filled", "fillers", "starts")],
-                F.when(add, F.col("filled") + F.col("pick.size")).otherwise(F.col("filled")).alias("filled"),
-                F.when(add, F.concat("fillers", F.array("pick.c"))).otherwise(F.col("fillers")).alias("fillers"),
-                F.when(add, F.concat("starts", F.array("filled"))).otherwise(F.col("starts")).alias("starts"))
-        self.per = materialize(per, "mix_targets")
-        self.placed = placed
+            "skey", "piece", F.coalesce(F.sum("size").over(BEFORE), F.lit(0)).alias("offset")), "mix_offsets")
+        self.placed = materialize(_placed(rows, per, self.offsets)
+                                  .select("doc_id", "skey", "piece", "u", "size", "c"), "mix_placed")
+        self.per = self._last_pass(per)
+        taken = (self.placed.join(self.per.select("skey", "rounds"), "skey").filter(_takes())
+                 .groupBy("skey", "piece").agg(F.sum("size").alias("size")))
+        self.starts = materialize(taken.select(
+            "skey", "piece", F.coalesce(F.sum("size").over(BEFORE), F.lit(0)).alias("before")), "mix_starts")
+
+    def _last_pass(self, per: DataFrame) -> DataFrame:
+        """``per`` with the rounds of each source's last pass, its words, and the document on top.
+
+        A round (since, gap) goes on from place ``since`` and takes all documents of at most
+        ``gap`` words up to the first that does not fit what is left; that one is skipped and the
+        next round begins there. The gap shrinks below the size of the skipped document each
+        time, so a source takes about as many rounds as its sizes have binary digits.
+        """
+        per = per.withColumn("filled", F.lit(0).cast("long")).withColumn("rounds", F.array(F.struct(
+            F.lit(0).cast("long").alias("since"), F.col("part").alias("gap"))))
+        # Sources whose last pass goes on; their number falls from round to round.
+        open_ = materialize(per.select("skey", "part", "filled", "rounds"), "mix_round")
+        ended = None
+        while not open_.isEmpty():
+            last = F.element_at("rounds", -1)
+            here = (self.placed.join(open_.select("skey", last["since"].alias("since"), last["gap"].alias("gap")), "skey")
+                    .filter((F.col("size") > 0) & (F.col("c") >= F.col("since")) & (F.col("size") <= F.col("gap"))))
+            sums = (here.groupBy("skey", "piece", "gap").agg(F.sum("size").alias("size"))
+                    .withColumn("before", F.coalesce(F.sum("size").over(BEFORE), F.lit(0))))
+            # The piece in which the gap is crossed, then the document.
+            piece = sums.groupBy("skey").agg(
+                F.sum("size").alias("all"),
+                F.min(F.when(F.col("before") + F.col("size") > F.col("gap"), F.struct("piece", "before"))).alias("cross"))
+            piece = materialize(piece, "mix_crossing")
+            inside = W.partitionBy("skey").orderBy("c").rowsBetween(W.unboundedPreceding, -1)
+            rows = (here.join(piece.filter("cross is not null").select("skey", "cross.piece", "cross.before"), ["skey", "piece"])
+                    .withColumn("words", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+                    .filter(F.col("words") + F.col("size") > F.col("gap"))
+                    .groupBy("skey").agg(F.min(F.struct("c", "words")).alias("at")))
+            after = materialize(open_.join(piece.select("skey", "all"), "skey", "left").join(rows, "skey", "left"), "mix_round")
+            done = after.filter("at is null").select(
+                "skey", "part", (F.col("filled") + F.coalesce("all", F.lit(0))).alias("filled"), "rounds")
+            ended = done if ended is None else ended.union(done)
+            filled = F.col("filled") + F.col("at.words")
+            open_ = after.filter("at is not null").select("skey", "part", filled.alias("filled"), F.concat("rounds", F.array(
+                F.struct(F.col("at.c").alias("since"), (F.col("part") - filled).alias("gap")))).alias("rounds"))
+        if ended is None:
+            ended = open_
+        ended = materialize(ended, "mix_ended")
+        # What is left is below any document not taken; the smallest may come nearer from above.
+        gap = F.col("part") - F.col("filled")
+        top = (self.placed.join(ended, "skey")
+               .filter((F.col("size") > 0) & ~_takes() & (F.col("size") < 2 * gap))
+               .groupBy("skey").agg(F.min(F.struct("size", "c")).alias("top")))
+        return materialize(per.drop("filled", "rounds").join(ended.drop("part"), "skey")
+                           .join(top.select("skey", F.col("top.c").alias("extra")), "skey", "left"), "mix_targets")
 
     def _taken(self, placed: DataFrame) -> DataFrame:
         """``copies``: passes that take the document, and the progress ``t`` of each."""
-        last = ((F.col("c") + F.col("size") <= F.col("part"))
-                | (F.array_contains("fillers", F.col("c")) & (F.col("size") > 0)))
-        copies = F.col("passes") + last.cast("long")
+        placed = (placed.join(self.per.drop("pieces"), "skey")
+                  .join(self.starts, ["skey", "piece"], "left").withColumn("fits", _takes()))
+        inside = W.partitionBy("skey", "piece").orderBy("u", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+        start = F.coalesce("before", F.lit(0)) + F.coalesce(
+            F.sum(F.when(F.col("fits"), F.col("size"))).over(inside), F.lit(0))
+        extra = (F.col("size") > 0) & F.coalesce(F.col("c") == F.col("extra"), F.lit(False))
+        placed = placed.withColumn("start", F.when(extra, F.col("filled")).otherwise(start))
+        copies = F.col("passes") + (F.col("fits") | extra).cast("long")
 
         def progress(k: Column) -> Column:
-            # A filler of the last pass starts where the documents before it end.
-            start = F.element_at("starts", F.array_position("fillers", F.col("c")).cast("int"))
-            filler = (k == F.col("passes")) & F.array_contains("fillers", F.col("c"))
-            words = k * F.col("source_size") + F.when(filler, start).otherwise(F.col("c"))
+            # A document of the last pass starts where those taken before it end.
+            words = k * F.col("source_size") + F.when(k == F.col("passes"), F.col("start")).otherwise(F.col("c"))
             area = F.when(F.col("target") > 0, words / F.col("target")).otherwise(F.lit(0.0)) * F.col("weight")
             s = F.element_at(F.filter("segments", lambda x: x["before"] <= area), -1)
             left = area - s["before"]
             root = s["w0"] + F.sqrt(F.greatest(s["w0"] * s["w0"] + 2 * s["slope"] * left, F.lit(0.0)))
             return s["start"] + F.when(left > 0, 2 * left / root).otherwise(F.lit(0.0))
 
-        return (placed.join(self.per.drop("pieces"), "skey").withColumn("copies", copies)
+        return (placed.withColumn("copies", copies)
                 .withColumn("t", F.when(F.col("copies") > 0, F.transform(
                     F.sequence(F.lit(0).cast("long"), F.col("copies") - 1), progress))
                     .otherwise(F.expr("cast(array() as array<double>)"))))
@@ -199,6 +237,6 @@ class Mix:
         """The documents as often as the mix takes them, with the input's columns, range-sorted
         by training position."""
         rows = _placed(_rows(self.docs, carry=True), self.per, self.offsets)
-        return (self._taken(rows.select("doc", "doc_id", "skey", "size", "c"))
+        return (self._taken(rows.select("doc", "doc_id", "skey", "piece", "u", "size", "c"))
                 .select("doc", "doc_id", F.explode("t").alias("t"))
                 .repartitionByRange("t", "doc_id").sortWithinPartitions("t", "doc_id").select("doc.*"))

@@ -270,6 +270,10 @@ WHERE regexp_matches(lower(text), {lit(Q.SECRET_PATTERN)}) GROUP BY source""")
 oracle("first_by_order", """
 SELECT user_id, arg_min(event_type, struct_pack(t := ts, e := event_id)) AS PRIMER_TIPO FROM events GROUP BY user_id""")
 
+oracle("wide_main_costs", f"""
+SELECT o_custkey AS CODIGO_TRAMITE, o_orderkey AS ID_PEDIDO, o_orderpriority AS CONCEPTO,
+       CAST({_price_dec.format(c=_price.format(c='o_totalprice'))} AS VARCHAR) AS COSTO FROM orders""")
+
 oracle("wide_main_table", f"""
 WITH c AS (
   SELECT o_custkey AS CODIGO_TRAMITE, o_orderpriority AS CONCEPTO,

@@ -41,3 +41,20 @@ def test_no_column_is_constant(spark, name):
 def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0 and "CODIGO_TRAMITE" in df.columns
+
+
+def test_no_order_of_a_customer_is_lost(spark):
+    """Several orders of one customer with one priority are all cost items; the dearest is in the wide table."""
+    items = queries()["wide_main_costs"](spark, SF).collect()
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    assert sorted((r["CODIGO_TRAMITE"], r["ID_PEDIDO"]) for r in items) == sorted(
+        (r["o_custkey"], r["o_orderkey"]) for r in orders.select("o_custkey", "o_orderkey").collect())
+    best, seen = {}, set()
+    for r in items:
+        at = r["CODIGO_TRAMITE"], r["CONCEPTO"]
+        best[at] = max(best.get(at, 0), float(r["COSTO"]))
+        seen.add(at)
+    assert len(seen) < len(items)
+    for r in queries()["wide_main_table"](spark, SF).collect():
+        own = sorted(v for (c, _), v in best.items() if c == r["CODIGO_TRAMITE"])
+        assert [float(x) for x in (r["MONTO_COSTO"] or "").split("|") if x] == own
