@@ -8,9 +8,9 @@ that starts after c words of its source's order is trained at the t where the de
 positions are the inverse of the demand: a square root within a segment.
 
 A source's order is a hash of its documents. Whole passes over a source are followed by a last pass
-that takes, along the order, every document that still fits the rest of the target; those that do
-not fit are skipped, however long they are. What is then left is below the smallest document not
-taken; if that one misses the target by less, it comes on top.
+that takes documents that still fit the rest of the target until none fits; one that does not fit
+is skipped, however long it is. So the miss is below the smallest document not taken, or less if
+a document that goes beyond the target comes nearer.
 
 Running sums are distributed: the hash order is cut into pieces of about ``rows_per_piece``
 documents, pieces are summed up, and only rows within a piece are numbered together. A source
@@ -100,15 +100,21 @@ def sources(rows: DataFrame, cycle: Sequence[Schedule], named: Mapping[str | Non
     return (per.withColumn("target", target).withColumn("passes", passes.cast("long"))
             .select("skey", "source_size", "target", "passes", "weight", "segments",
                     (F.col("target") - F.col("passes") * F.col("source_size")).alias("part"),
+                    (F.col("source_size") / F.col("n")).alias("mean"),
                     F.ceil(F.col("n") / F.lit(rows_per_piece)).alias("pieces")))
 
 
-BEFORE = W.partitionBy("skey").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
+def _before() -> Column:
+    """Words of the source's pieces before each piece."""
+    window = W.partitionBy("skey").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
+    return F.coalesce(F.sum("size").over(window), F.lit(0).cast("long"))
 
 
 def _takes() -> Column:
-    """Whether the rounds of the last pass take a document: those of the round its place is in."""
-    return F.col("size") <= F.element_at(F.filter("rounds", lambda x: x["since"] <= F.col("c")), -1)["gap"]
+    """Whether the last pass takes a document: a round came by it with room for it, or it was picked.
+    A blank one is taken up to the place where a pass without skips would end."""
+    fits = F.exists("rounds", lambda x: (F.col("c") < x["upto"]) & (F.col("size") <= x["gap"]))
+    return F.when(F.col("size") > 0, fits | F.array_contains("picks", F.col("c"))).otherwise(F.col("c") <= F.col("part"))
 
 
 def _piece(u: Column, pieces: Column) -> Column:
@@ -139,61 +145,85 @@ class Mix:
                   .groupBy("skey", _piece(F.col("u"), F.col("pieces")).alias("piece"))
                   .agg(F.sum("size").alias("size")))
         self.offsets = materialize(pieces.select(
-            "skey", "piece", F.coalesce(F.sum("size").over(BEFORE), F.lit(0)).alias("offset")), "mix_offsets")
+            "skey", "piece", _before().alias("offset")), "mix_offsets")
         self.placed = materialize(_placed(rows, per, self.offsets)
                                   .select("doc_id", "skey", "piece", "u", "size", "c"), "mix_placed")
         self.per = self._last_pass(per)
-        taken = (self.placed.join(self.per.select("skey", "rounds"), "skey").filter(_takes())
+        taken = (self.placed.join(self.per.select("skey", "part", "rounds", "picks"), "skey").filter(_takes())
                  .groupBy("skey", "piece").agg(F.sum("size").alias("size")))
         self.starts = materialize(taken.select(
-            "skey", "piece", F.coalesce(F.sum("size").over(BEFORE), F.lit(0)).alias("before")), "mix_starts")
+            "skey", "piece", _before().alias("before")), "mix_starts")
 
     def _last_pass(self, per: DataFrame) -> DataFrame:
-        """``per`` with the rounds of each source's last pass, its words, and the document on top.
+        """``per`` with what each source's last pass takes: rounds, picks and a document on top.
 
-        A round (since, gap) goes on from place ``since`` and takes all documents of at most
-        ``gap`` words up to the first that does not fit what is left; that one is skipped and the
-        next round begins there. The gap shrinks below the size of the skipped document each
-        time, so a source takes about as many rounds as its sizes have binary digits.
+        The first round goes along the order and takes all that fits up to the first document that
+        crosses the gap. From then on, if the largest document that fits is at least half the gap,
+        it is picked; otherwise the documents that fit are taken along the order up to the next
+        crossing, which leaves less than that largest one. So the gap halves with each round, and
+        the rounds end when no document fits. ``best`` remembers the nearest miss from above.
+
+        If only long documents are left then and the miss is above the mean document, the source
+        starts once more with the smallest of them taken first: the shorter ones, more than
+        enough now, fill the rest. The nearer of both ways counts.
         """
-        per = per.withColumn("filled", F.lit(0).cast("long")).withColumn("rounds", F.array(F.struct(
-            F.lit(0).cast("long").alias("since"), F.col("part").alias("gap"))))
-        # Sources whose last pass goes on; their number falls from round to round.
-        open_ = materialize(per.select("skey", "part", "filled", "rounds"), "mix_round")
-        ended = None
-        while not open_.isEmpty():
-            last = F.element_at("rounds", -1)
-            here = (self.placed.join(open_.select("skey", last["since"].alias("since"), last["gap"].alias("gap")), "skey")
-                    .filter((F.col("size") > 0) & (F.col("c") >= F.col("since")) & (F.col("size") <= F.col("gap"))))
-            sums = (here.groupBy("skey", "piece", "gap").agg(F.sum("size").alias("size"))
-                    .withColumn("before", F.coalesce(F.sum("size").over(BEFORE), F.lit(0))))
+        state = per.select(
+            "skey", "part", "mean", F.lit(False).alias("again"), F.lit(0).cast("long").alias("filled"),
+            F.expr("cast(array() as array<struct<upto:bigint,gap:double>>)").alias("rounds"),
+            F.expr("cast(array() as array<bigint>)").alias("picks"),
+            F.expr("cast(null as struct<miss:double,filled:bigint,rounds:array<struct<upto:bigint,gap:double>>,picks:array<bigint>,c:bigint>)").alias("best"))
+        gap, fit = F.col("part") - F.col("filled"), F.col("size") <= F.col("part") - F.col("filled")
+        state, ended = materialize(state, "mix_state"), None
+        while ended is None or not state.isEmpty():
+            rest = self.placed.join(state, "skey").filter((F.col("size") > 0) & ~_takes())
+            seen = rest.groupBy("skey").agg(
+                F.max(F.when(fit, F.struct("size", (-F.col("c")).alias("c")))).alias("largest"),
+                F.min(F.when(~fit, F.struct("size", "c"))).alias("over"), F.sum(F.when(fit, F.col("size"))).alias("all"))
+            miss = F.col("over.size") - gap
+            nearer = F.col("over").isNotNull() & (F.col("best").isNull() | (miss < F.col("best.miss")))
+            step = (F.when(F.col("largest").isNull(), "end")
+                    .when((F.size("rounds") > 0) & (2 * F.col("largest.size") >= gap), "pick")
+                    .when(F.col("all") <= gap, "all").otherwise("cross"))
+            after = materialize(
+                state.join(seen, "skey", "left").withColumn("step", step).withColumn("best", F.when(nearer, F.struct(
+                    miss.alias("miss"), "filled", "rounds", "picks", F.col("over.c").alias("c"))).otherwise(F.col("best")))
+                .withColumn("step", F.when((F.col("step") == "end") & ~F.col("again") & (F.col("over.size") <= F.col("part"))
+                                           & (F.least(gap, "best.miss") > F.col("mean")), "again").otherwise(F.col("step"))), "mix_seen")
+            done = after.filter("step = 'end'").select("skey", "part", "filled", "rounds", "picks", "best")
+            ended = done if ended is None else ended.union(done)
             # The piece in which the gap is crossed, then the document.
-            piece = sums.groupBy("skey").agg(
-                F.sum("size").alias("all"),
-                F.min(F.when(F.col("before") + F.col("size") > F.col("gap"), F.struct("piece", "before"))).alias("cross"))
-            piece = materialize(piece, "mix_crossing")
+            here = (rest.filter(fit).select("skey", "piece", "size", "c", gap.alias("gap"))
+                    .join(after.filter("step = 'cross'").select("skey"), "skey"))
+            sums = here.groupBy("skey", "piece", "gap").agg(F.sum("size").alias("size")).withColumn("before", _before())
+            piece = (sums.filter(F.col("before") + F.col("size") > F.col("gap"))
+                     .groupBy("skey").agg(F.min(F.struct("piece", "before")).alias("x")).select("skey", "x.piece", "x.before"))
             inside = W.partitionBy("skey").orderBy("c").rowsBetween(W.unboundedPreceding, -1)
-            rows = (here.join(piece.filter("cross is not null").select("skey", "cross.piece", "cross.before"), ["skey", "piece"])
-                    .withColumn("words", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-                    .filter(F.col("words") + F.col("size") > F.col("gap"))
-                    .groupBy("skey").agg(F.min(F.struct("c", "words")).alias("at")))
-            after = materialize(open_.join(piece.select("skey", "all"), "skey", "left").join(rows, "skey", "left"), "mix_round")
-            done = after.filter("at is null").select(
-                "skey", "part", (F.col("filled") + F.coalesce("all", F.lit(0))).alias("filled"), "rounds")
-            ended = done if ended is None else ended.union(done)
-            filled = F.col("filled") + F.col("at.words")
-            open_ = after.filter("at is not null").select("skey", "part", filled.alias("filled"), F.concat("rounds", F.array(
-                F.struct(F.col("at.c").alias("since"), (F.col("part") - filled).alias("gap")))).alias("rounds"))
-        if ended is None:
-            ended = open_
-        ended = materialize(ended, "mix_ended")
-        # What is left is below any document not taken; the smallest may come nearer from above.
-        gap = F.col("part") - F.col("filled")
-        top = (self.placed.join(ended, "skey")
-               .filter((F.col("size") > 0) & ~_takes() & (F.col("size") < 2 * gap))
-               .groupBy("skey").agg(F.min(F.struct("size", "c")).alias("top")))
-        return materialize(per.drop("filled", "rounds").join(ended.drop("part"), "skey")
-                           .join(top.select("skey", F.col("top.c").alias("extra")), "skey", "left"), "mix_targets")
+            at = (here.join(piece, ["skey", "piece"])
+                  .withColumn("words", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+                  .filter(F.col("words") + F.col("size") > F.col("gap"))
+                  .groupBy("skey").agg(F.min(F.struct("c", "words")).alias("at")))
+            more = (F.when(F.col("step") == "pick", F.col("largest.size"))
+                    .when(F.col("step") == "all", F.col("all")).otherwise(F.col("at.words")))
+            upto = F.when(F.col("step") == "all", F.lit(2 ** 63 - 1)).otherwise(F.col("at.c"))
+            onward = after.filter("step not in ('end', 'again')").join(at, "skey", "left").select(
+                "skey", "part", "mean", "again", (F.col("filled") + more).alias("filled"),
+                F.when(F.col("step") == "pick", F.col("rounds")).otherwise(F.concat("rounds", F.array(F.struct(
+                    upto.alias("upto"), gap.alias("gap"))))).alias("rounds"),
+                F.when(F.col("step") == "pick", F.concat("picks", F.array(-F.col("largest.c")))).otherwise(F.col("picks")).alias("picks"),
+                "best")
+            under = F.struct(gap.alias("miss"), "filled", "rounds", "picks", F.lit(None).cast("long").alias("c"))
+            anew = after.filter("step = 'again'").select(
+                "skey", "part", "mean", F.lit(True).alias("again"), F.col("over.size").alias("filled"),
+                F.slice("rounds", 1, 0).alias("rounds"), F.array("over.c").alias("picks"),
+                F.when(F.col("best.miss") < gap, F.col("best")).otherwise(under).alias("best"))
+            state = materialize(onward.union(anew), "mix_state")
+        above = F.coalesce(F.col("best.miss") < gap, F.lit(False))
+        return materialize(per.drop("part").join(ended, "skey").select(
+            *[c for c in per.columns],
+            F.when(above, F.col("best.filled")).otherwise(F.col("filled")).alias("filled"),
+            F.when(above, F.col("best.rounds")).otherwise(F.col("rounds")).alias("rounds"),
+            F.when(above, F.col("best.picks")).otherwise(F.col("picks")).alias("picks"),
+            F.when(above, F.col("best.c")).alias("extra")), "mix_targets")
 
     def _taken(self, placed: DataFrame) -> DataFrame:
         """``copies``: passes that take the document, and the progress ``t`` of each."""

@@ -61,6 +61,25 @@ def test_mix_hits_targets(spark, seed, pieces):
         assert abs(taken[s] - want[s]) <= 0.005 * want[s]  # whole documents of up to 80 words
 
 
+@pytest.mark.parametrize("pieces", [16, 1024])
+def test_mix_fills_behind_a_very_long_document(spark, pieces):
+    rng = random.Random(9)
+    rows = []
+    for s in range(12):  # a document of half its source's words among short ones
+        for k in range(150):
+            n = 1500 if k == 75 else rng.randrange(5, 16)
+            rows.append((len(rows), prose(rng, n), "en", f"s{s:02}", 1))
+    mix = mixing.Mix(documents(spark, rows), rows_per_piece=pieces)
+    order, target, taken = set(), {}, defaultdict(int)
+    for r in mix._taken(mix.placed).collect():
+        order.add(r["skey"])
+        target[r["skey"]] = r["target"]
+        taken[r["skey"]] += r["size"] * r["copies"]
+        assert len(r["t"]) == r["copies"] and all(0 <= t <= 1 for t in r["t"])
+    assert len(order) == 12
+    assert all(abs(taken[s] - target[s]) < 5 for s in order)  # below the smallest document
+
+
 def test_mix_caps_small_sources_and_reshares(spark):
     rows = [(i, "w " * 100, "en", "small", 1) for i in range(2)] + [(10 + i, "w " * 100, "en", "z", 1) for i in range(50)]
     got = {r["doc_id"]: r for r in mixing.Mix(documents(spark, rows)).documents().collect()}
