@@ -32,7 +32,6 @@ from docmart.session import shared_dir
 MAGIC = "WARC/1.0\r\n"
 URN = "urn:x-page:"
 HEX_DIGITS, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-HEAD_LIMIT = 1 << 16  # a longer stretch without an empty line is no header
 
 
 def sha1_base32(payload: Column) -> Column:
@@ -101,8 +100,8 @@ def _parsed(df: DataFrame) -> DataFrame:
     """Adds what the header of ``bytes`` says, and the payload if the record ends with ``bytes``."""
     df = df.withColumn("head", F.substring_index(F.col("bytes").cast("string"), "\r\n\r\n", 1))
     df = df.withColumn("head_size", F.octet_length("head")).withColumn("size", F.octet_length("bytes"))
-    headed = (F.col("head_size") < F.col("size")) & (F.col("head_size") < HEAD_LIMIT)
-    df = df.withColumn("head", F.when(headed, F.col("head")))
+    # However long: a false header does no harm, as only the chain of successors makes records.
+    df = df.withColumn("head", F.when(F.col("head_size") < F.col("size"), F.col("head")))
     df = df.withColumn("content", _field("Content-Length").try_cast("long"))
     df = df.withColumn("whole", F.coalesce(F.col("head_size") + 8 + F.col("content") == F.col("size"), F.lit(False)))
     df = df.withColumn("payload", F.when(F.col("whole"), F.expr("substring(bytes, head_size + 5, int(content))")))

@@ -120,6 +120,16 @@ def test_foreign_archive_with_preface_free_start_and_cut_end(spark, tmp_path):
     assert got == Counter({f"<urn:x-page:{i}>": 2 if i < 29 else 1 for i in range(30)})
 
 
+def test_round_trip_of_very_long_urls(spark):
+    """A head of several hundred KB, and the pages behind it in the same file."""
+    rows = [(i, f"http://x/{i}?" + "q" * (300_000 if i % 3 == 1 else 65_400 if i % 3 == 2 else 5), f"page {i // 2}")
+            for i in range(9)]
+    rows += [(9, "http://x/" + "é" * 200_000, "a" + fake_record("quoted") + "b"), (10, "http://x/10", "last")]
+    got = warc.round_trip(pages(spark, rows).coalesce(1))
+    assert as_set(got, *COLS) == brute_warc(rows)
+    assert all(r["intact"] for r in got.collect())
+
+
 def test_round_trip_awkward_rows_and_limits(spark):
     rows = [(1, None, None), (2, "u", ""), (3, "u", "x"), (4, None, "x"), (4, None, "x"), (None, None, "x"), (None, "u", "alone"),
             (5, "u", "é😀" * 100_000), (-6, "", "y\x00z")]
