@@ -17,7 +17,8 @@ candidate counts only if the chain of successors from the start of its file reac
 4. a candidate is a record if an entry at or before it in its run is reached.
 
 Payload bytes stay in the scan: digests are made there for records that lie between two magics.
-Only the parts of records that hold a magic are read again and put together.
+Only the parts of records that hold a magic are read again and put together. A part is named by
+its own digest, so the second scan may be split in any way.
 """
 
 from __future__ import annotations
@@ -118,11 +119,15 @@ def _facts() -> list[Column]:
         F.octet_length("payload").cast("long").alias("n_bytes"), sha1_base32(F.col("payload")).alias("digest")]
 
 
+def _sha(name: str) -> Column:
+    return F.unhex(F.sha2(name, 256)).alias("sha")
+
+
 def candidates(spark: SparkSession, path: str) -> DataFrame:
     """One narrow row per candidate: file, block, seq, offset, successor, run, and its facts."""
     found = materialize(
         _parsed(_segments(spark, path))
-        .select("file", "block", "file_size", "seq", "size", "whole",
+        .select("file", "block", "file_size", "seq", "size", "whole", _sha("bytes"),
                 (F.col("head_size") + F.col("content") + 8 + len(MAGIC)).alias("span"), *_facts()), "warc_segments")
     step = F.col("size") + len(MAGIC)
     totals = found.groupBy("file", "block").agg(F.sum(step).alias("bytes"))
@@ -190,11 +195,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     parts = (real.join(carried, ["file", "block"])
              .withColumn("owner", F.coalesce(F.max(start).over(inside), F.col("carried")))
              .join(broken.withColumnRenamed("offset", "owner"), ["file", "owner"])
-             .select("file", "block", "seq", "owner"))
+             .select("file", "owner", "offset", "sha"))
     parts = materialize(parts, "warc_parts")
-    joined = (_segments(spark, path).drop("file_size").join(parts, ["file", "block", "seq"])
+    # Where a stretch lies in the second scan does not matter: its bytes are found by their digest.
+    held = (_segments(spark, path).select(_sha("bytes"), "bytes")
+            .join(parts.select("sha").distinct(), "sha", "left_semi").groupBy("sha").agg(F.first("bytes").alias("bytes")))
+    there = F.coalesce("bytes", F.raise_error(F.lit("a part of a record is missing from the second scan")).cast("binary"))
+    joined = (parts.join(held, "sha", "left")
               .groupBy("file", F.col("owner").alias("offset"))
-              .agg(F.sort_array(F.collect_list(F.struct("block", "seq", "bytes"))).alias("parts")))
+              .agg(F.sort_array(F.collect_list(F.struct(F.col("offset").alias("at"), there.alias("bytes")))).alias("parts")))
     magic = F.lit(MAGIC.encode())
     whole = F.aggregate(F.slice("parts", 2, F.size("parts")), F.get("parts", F.lit(0))["bytes"],
                         lambda a, x: F.concat(a, magic, x["bytes"]))

@@ -120,6 +120,27 @@ def test_foreign_archive_with_preface_free_start_and_cut_end(spark, tmp_path):
     assert got == Counter({f"<urn:x-page:{i}>": 2 if i < 29 else 1 for i in range(30)})
 
 
+def test_scans_that_are_split_differently(spark, monkeypatch):
+    """As when executors come or go: the second scan has other splits than the first."""
+    rows = nasty(60)
+    names = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    old = [spark.conf.get(x) for x in names]
+    segments, sizes = warc._segments, iter(("4099", "997", "997"))
+
+    def split(spark, path):
+        spark.conf.set(names[0], next(sizes))
+        return segments(spark, path)
+
+    try:
+        spark.conf.set(names[1], "1")
+        monkeypatch.setattr(warc, "_segments", split)
+        got = warc.round_trip(pages(spark, rows).coalesce(1))
+        assert as_set(got, *COLS) == brute_warc(rows)
+    finally:
+        for name, value in zip(names, old):
+            spark.conf.set(name, value)
+
+
 def test_round_trip_of_very_long_urls(spark):
     """A head of several hundred KB, and the pages behind it in the same file."""
     rows = [(i, f"http://x/{i}?" + "q" * (300_000 if i % 3 == 1 else 65_400 if i % 3 == 2 else 5), f"page {i // 2}")
