@@ -14,6 +14,8 @@ Only DataFrame functions, one pass over the texts and no shuffle.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +74,36 @@ Unless required by applicable law or agreed to in writing, software distributed
 "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the
 specific language governing permissions and limitations under the License."""
 
+# FIXED: verbatim texts beside this module, read by the driver only.
+FILES = (
+    ("Apache-2.0", "Apache-2.0"), ("CC0-1.0", "CC0-1.0"), ("GPL-1.0-only", "GPL-1"), ("GPL-2.0-only", "GPL-2"),
+    ("GPL-3.0-only", "GPL-3"), ("LGPL-2.0-only", "LGPL-2"), ("LGPL-2.1-only", "LGPL-2.1"), ("LGPL-3.0-only", "LGPL-3"),
+    ("MPL-1.1", "MPL-1.1"), ("MPL-2.0", "MPL-2.0"),
+)
+# FIXED: title lines that may stand above a text.
+TITLES = {
+    "MIT": ("The MIT License (MIT)", "The MIT License", "MIT License (MIT)"),
+    "ISC": ("The ISC License", "ISC License (ISC)", "The ISC License (ISC)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "0BSD License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License",
+                     "BSD 2-Clause \"Simplified\" License", "Simplified BSD License", "BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License",
+                     "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License", "Modified BSD License", "BSD License"),
+}
+
+
+def _files() -> list[tuple[str, str]]:
+    """The texts of ``FILES``, and each up to the end of its terms, without the appendix."""
+    out, end = [], "END OF TERMS AND CONDITIONS"
+    for spdx, name in FILES:
+        text = (Path(__file__).parent / "license_texts" / f"{name}.txt").read_text(encoding="utf-8")
+        out.append((spdx, text))
+        if end in text:
+            out.append((spdx, text[:text.index(end) + len(end)]))
+            out.append((spdx, text[:text.index(end)]))
+    return out
+
+
 # FIXED: SPDX identifier and text of known licences, then of notices that name one.
 KNOWN = (
     ("MIT", _MIT),
@@ -100,10 +132,16 @@ KNOWN = (
     ("CC-BY-NC-4.0", "This work is licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 )
+KNOWN += tuple((spdx, f"{title}\n\n{text}") for spdx, text in KNOWN[:7] if not text.startswith(f"{spdx} License")
+               for title in TITLES[spdx]) + tuple(_files())
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# A line that states a copyright: the sign or word, then a year or a sign.
-COPYRIGHT_LINE = r"(?m)^[ \t/*#;-]*(?:copyright|\(c\)|©)[ \t]*(?:\(c\)|©)?[ \t]*[0-9]{4}[^\n]*$"
+# A line that states a copyright: sign and word, whatever follows; the word or "(c)" alone only before
+# a year or bracket, as lines of the terms may begin so. Then the line "All rights reserved".
+COPYRIGHT_LINE = (
+    r"(?m)^[ \t/*#;-]*(?:(?:copyright|\(c\)|©)[ \t]*(?:\(c\)|©)?[ \t]*[0-9]{4}[^\n]*"
+    r"|(?:copyright[ \t]*(?:\(c\)|©|[<\[{])|\(c\)[ \t]*copyright|©)[^\n]*"
+    r"|all rights reserved[ \t\r.!*/]*)$")
 # Everything in ASCII but letters, digits and the line feed, and common typographic marks.
 MARKS = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F“”‘’«»–—…•·©®™]+"
 

@@ -228,6 +228,27 @@ def test_licenses_match_brute_force(spark):
     assert by[104][3] == "MIT CC-BY-NC-4.0" and by[105][3] == ""
 
 
+def test_licenses_as_they_lie_in_repositories(spark):
+    text = {}
+    for spdx, known in licenses.KNOWN:
+        text.setdefault(spdx, known)
+    mit, isc, bsd = text["MIT"], text["ISC"], text["BSD-3-Clause"]
+    want = [
+        ("MIT", "MIT License\n\nCopyright (c) Microsoft Corporation.\n\n" + mit),
+        ("MIT", "The MIT License (MIT)\r\n\r\nCopyright (C) Jane Doe 2020\r\nAll rights reserved.\r\n\r\n" + mit.replace("\n", "\r\n")),
+        ("MIT", "MIT License\nCopyright (c) <year> <copyright holders>\n" + mit),
+        ("MIT", mit.replace("\n", " ").replace("OR COPYRIGHT HOLDERS BE", "OR\nCOPYRIGHT HOLDERS BE")),  # a line of the terms
+        ("ISC", "The ISC License\n\n© Someone\n" + isc),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n" + bsd),
+        (None, "MIT License\n\nCopyright holders keep all.\n" + mit)]
+    for spdx, name in licenses.FILES:
+        with open(f"/usr/share/common-licenses/{name}", encoding="utf-8") as f:
+            want.append((spdx, f.read()))
+    got = licenses.scan(documents(spark, [(i, t, "en", "a", 1) for i, (_, t) in enumerate(want)]))
+    assert [x for _, x in as_set(got, "doc_id", "license")] == [
+        x for _, x in sorted(((i, x) for i, (x, _) in enumerate(want)), key=repr)]
+
+
 def test_licenses_empty_and_native(spark):
     assert licenses.scan(documents(spark, [])).count() == 0
     plan = licenses.scan(documents(spark, awkward()))._jdf.queryExecution().toString()
