@@ -6,22 +6,25 @@ puts its new neighbours on the agenda. What is left becomes ids; symbols outside
 become byte pieces.
 
 No merge crosses a place where the two code points around it stand next to each other in
-no piece, so a text is cut before a space that follows another character, and around control
-characters that no longer piece holds, if the vocabulary allows it. Chunks are encoded on
-their own, and a bounded table of chunks already seen saves most of the work.
-
-Every chunk new to a worker is checked against the sentencepiece library, all new chunks of an
-Arrow batch in one call; a difference raises. The model file is read on the driver and its
-bytes are broadcast (a vocabulary, a fixed size).
+no piece: a merged symbol is a piece, and the two would stand side by side in it. A text is cut at
+every such place (one numpy lookup a character). Chunks are encoded on their own, and a bounded
+table of chunks already seen, kept for the life of a Python worker, saves most of the work.
+
+Every chunk new to a worker is checked against the sentencepiece library, all new chunks of 256
+texts in one call, and so are the ids and the decoded text of every ``_WHOLE``-th whole text; a
+difference raises. The model file is read on the driver and its bytes are broadcast (a vocabulary,
+a fixed size).
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
-import re
 import sys
+import types
 from array import array
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -33,6 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 _CACHED_LENGTH, _CACHE_SIZE = 64, 600_000
+_WHOLE = 16  # of so many texts one is compared with the library as a whole
 _LEFT = (1 << 40) - 1
 _RESULT = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
 
@@ -69,20 +73,30 @@ class Codec:
         self.is_byte = [p.type == BYTE for p in proto.pieces]
         self.is_control = [p.type == CONTROL for p in proto.pieces]
         self.spaced = [p.type == NORMAL and p.piece.startswith(SPACE) for p in proto.pieces]
-        long = [x for x in normal if len(x) > 1]
-        joined = set("".join(long))
-        alone = "".join(c for c in "\n\t\r\x0b\x0c" if c not in joined)
-        # Cut before spaces only if no piece has one after another character.
-        inner = any(SPACE in x.lstrip(SPACE) for x in long)
-        self.chunks = (re.compile(".+", re.S) if inner else
-                       re.compile(f"[{alone}]| *[^ {alone}]+| +" if alone else " *[^ ]+| +")).findall
-        self.lead = "\n" if "\n" in alone else None
+        # Which two characters stand side by side in a piece, by their places in an alphabet (0: in none).
+        pairs = {x[i:i + 2] for x in normal for i in range(len(x) - 1)}
+        alphabet = sorted(set("".join(pairs)))
+        self.place = np.zeros(sys.maxunicode + 1, np.int32)
+        self.place[[ord(c) for c in alphabet]] = np.arange(1, len(alphabet) + 1)
+        self.width = len(alphabet) + 1
+        self.apart = np.ones(self.width * self.width, bool)
+        self.apart[[self.place[ord(x)] * self.width + self.place[ord(y)] for x, y in pairs]] = False
+        # A character that joins nothing, to send chunks without a leading space to the library.
+        self.lead = next(c for c in map(chr, range(9, sys.maxunicode)) if not self.place[ord(c)] and c != " ")
+        self.lead_ids = len(self.library.encode(self.lead))
         self.seen: dict[str, bytes] = {}
 
+    def chunks(self, text: str) -> list[str]:
+        """``text`` behind the dummy prefix, spaces as ``SPACE``, cut wherever no piece joins two characters."""
+        text = SPACE + text.replace(" ", SPACE)
+        at = self.place[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        cuts = (np.flatnonzero(self.apart[at[:-1] * self.width + at[1:]]) + 1).tolist()
+        return [text[i:j] for i, j in zip([0, *cuts], [*cuts, len(text)])]
+
     def agenda(self, chunk: str) -> bytes:
-        """Packed ids of one chunk (its spaces as spaces)."""
+        """Packed ids of one chunk."""
         # An agenda entry is one integer: rank of the score, left position, length of the piece.
-        sym = list(chunk.replace(" ", SPACE))
+        sym = list(chunk)
         rank, n = self.rank.get, len(sym)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [r | i << 8 for i, r in enumerate(map(rank, map(str.__add__, sym, sym[1:]))) if r is not None]
@@ -112,30 +126,28 @@ class Codec:
     def _check(self, new: dict[str, bytes]) -> None:
         """Compare new chunks with the library, in one call.
 
-        The library puts a space before every text. A chunk that begins with none is sent
-        behind a line feed, which joins nothing, and the ids of that lead are taken off.
+        The library puts a space before every text, so a leading space is left out. A chunk that
+        begins with none is sent behind ``lead``, which joins nothing, and the ids of that are taken off.
         """
-        sent, skip = [], []
-        lead = len(self.library.encode(self.lead)) if self.lead else 0
-        for chunk in new:
-            bare = chunk[0] != " "
-            if bare and not self.lead:
-                continue
-            sent.append(self.lead + chunk if bare else chunk[1:])
-            skip.append(lead if bare else 0)
-        found = self.library.encode(sent, num_threads=1)
-        for text, k, ids in zip((c for c in new if c[0] == " " or self.lead), skip, found):
-            if array("I", ids[k:]).tobytes() != new[text]:
-                # A lone space is the dummy prefix of an empty text, which has no ids.
-                if text != " ":
-                    raise RuntimeError(f"the agenda differs from sentencepiece on {text!r}")
+        kept = [c for c in new if c != SPACE]  # alone it is the prefix of an empty text, which has no ids
+        sent = [c[1:] if c[0] == SPACE else self.lead + c for c in kept]
+        for chunk, ids in zip(kept, self.library.encode(sent, num_threads=1)):
+            if array("I", ids[0 if chunk[0] == SPACE else self.lead_ids:]).tobytes() != new[chunk]:
+                raise RuntimeError(f"the agenda differs from sentencepiece on {chunk!r}")
+
+    def check_whole(self, texts: list[str | None], ids: list[bytes], decoded: list[str]) -> None:
+        """Compare the ids and the decoded text of whole texts with the library."""
+        found = self.library.encode([t or "" for t in texts], num_threads=1, add_bos=True, add_eos=True)
+        for text, mine, back, its, its_text in zip(texts, ids, decoded, found, self.library.decode(found)):
+            if array("I", its).tobytes() != mine or its_text != back:
+                raise RuntimeError(f"ids or decoded text differ from sentencepiece on {(text or '')[:200]!r}")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text with begin and end ids; NULL counts as empty."""
         seen = self.seen
         if len(seen) > _CACHE_SIZE:
             seen.clear()
-        pieces = [self.chunks(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
+        pieces = [self.chunks(t) if t else [] for t in texts]
         new = {c: self.agenda(c) for c in set().union(*pieces).difference(seen)}
         self._check(new)
         seen.update(new)
@@ -183,6 +195,16 @@ class Codec:
         return "".join(out) + flush(run)
 
 
+def _codec(model: bytes) -> Codec:
+    """The codec of a model, one for the life of a worker (this module is sent by value with
+    each task, so the codecs are held by a module of their own)."""
+    held = sys.modules.setdefault("docmart_codecs", types.ModuleType("docmart_codecs")).__dict__
+    key = hashlib.sha256(model).hexdigest()
+    if key not in held:
+        held[key] = Codec(model)
+    return held[key]
+
+
 def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
     """``docs`` and a struct column ``pieces``: ids (packed) and the text decoded from them.
 
@@ -192,18 +214,18 @@ def encode_decode(docs: DataFrame, model_path: str) -> DataFrame:
     """
     with open(model_path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
-    codecs: list[Codec] = []  # one per task
 
     @F.arrow_udf(_RESULT)
     def pieces(text: pa.Array) -> pa.Array:
-        if not codecs:
-            codecs.append(Codec(shared.value))
-        codec = codecs[0]
+        codec = _codec(shared.value)
         ids, decoded = [], []
         for i in range(0, len(text), 256):
-            some = codec.encode(text.slice(i, 256).to_pylist())
+            texts = text.slice(i, 256).to_pylist()
+            some = codec.encode(texts)
+            back = [codec.decode(x) for x in some]
+            codec.check_whole(texts[::_WHOLE], some[::_WHOLE], back[::_WHOLE])
             ids += some
-            decoded += [codec.decode(x) for x in some]
+            decoded += back
         return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(decoded, pa.string())],
                                           ["ids", "decoded"])
 
