@@ -1,6 +1,7 @@
 """Sharding to near-equal bytes by histogram sort.
 
-Rows are ordered by a 128-bit key: the hash of the whole text, then a hash of the document id.
+Rows are ordered by a 128-bit key: the hash of the whole text, then 40 bits of a hash of the document
+id and 24 bits of a hash of the row's place in the written key table, so that repeated rows are told apart.
 Splitters between shards are found by refinement: each round counts the exact bytes below a
 few candidate boundaries per splitter in one aggregate over all partitions (one row per
 candidate interval reaches the driver, at most ``probes * (shards - 1) + 1``), and narrows the
@@ -24,6 +25,7 @@ from docmart.llm.common import buckets_for, materialize
 _HALF = 1 << 63
 _WORD = 1 << 64
 _SPACE = 1 << 128
+_PLACES = 1 << 24
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -34,9 +36,9 @@ def keyed(docs: DataFrame) -> DataFrame:
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.xxhash64(text).alias("k1"),
-        # Rows without an id are told apart by their place, so that they can be split too.
-        F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id"))
-        .otherwise(F.xxhash64(F.monotonically_increasing_id(), F.lit("no id"))).alias("k2"),
+        # Rows that repeat text and id are told apart by their place, so that they can be split too.
+        F.xxhash64("doc_id").bitwiseAND(F.lit(-_PLACES))
+        .bitwiseOR(F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit(_PLACES - 1))).alias("k2"),
     ), "shard_keys")
 
 

@@ -177,6 +177,41 @@ def test_equal_texts_share_a_shard_unless_too_large(spark):
     assert sum(len(s) > 1 for s in where.values()) == 0
 
 
+def brute_boundaries(keys, shards):
+    """For each target the distance of the best boundary that keeps copies together, and of the best of all."""
+    rows = sorted(keys)
+    total, below, whole, parts = sum(r[2] for r in rows), 0, [0], [0]
+    for i, (k1, _, size) in enumerate(rows):
+        below += size
+        parts.append(below)
+        if i + 1 == len(rows) or rows[i + 1][0] != k1:
+            whole.append(below)
+    near = lambda at, t: min(abs(x - t) for x in at)
+    return [(near(whole, total * i / shards), near(parts, total * i / shards)) for i in range(1, shards)], total
+
+
+@pytest.mark.parametrize("case", ["prose", "repeated", "hot"])
+def test_splitters_match_brute_force(spark, case):
+    rng = random.Random(16)
+    rows = [(i, prose(rng, rng.randrange(1, 60)), "en", "a", 1) for i in range(400)]
+    if case == "repeated":
+        rows = [(1, "x" * 999, "en", "a", 1)] * 100 + [(i, "abc", "en", "a", 1) for i in range(200)]
+    if case == "hot":
+        rows += [(1000 + i, "one text of many", "en", "a", 1) for i in range(2000)]
+    keys = sharding.keyed(documents(spark, rows))
+    table = [(r["k1"] + (1 << 63), r["k2"] + (1 << 63), r["size"]) for r in keys.collect()]
+    bounds, n = sharding.splitters(keys, 8)
+    assert n == len(rows)
+    best, total = brute_boundaries(table, 8)
+    for i, b in enumerate(bounds):
+        below = sum(s for k1, k2, s in table if (k1 << 64 | k2) < b)
+        off, biggest = abs(below - total * (i + 1) / 8), max(s for _, _, s in table)
+        assert off <= max(0.005 * total / 8, best[i][1]) + biggest
+    got = shards(sharding.shard(documents(spark, rows), 8))
+    sums = [sum(r["size"] for r in part) for part in got.values()]
+    assert len(got) == 8 and max(sums) - min(sums) <= 2 * (max(s for _, _, s in table) + 0.005 * total / 8)
+
+
 def test_shards_of_awkward_few_and_no_rows(spark):
     rows = awkward()
     got = shards(sharding.shard(documents(spark, rows), 8))
