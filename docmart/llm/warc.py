@@ -86,7 +86,8 @@ def write(pages: DataFrame, path: str, least: int = 0, date: str = "2000-01-01T0
 
 
 def _field(name: str) -> Column:
-    return F.nullif(F.trim(F.regexp_extract("head", rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1)), F.lit(""))
+    """A header's value. (?d): only a line feed ends a line, not U+0085 or U+2028 inside a value."""
+    return F.nullif(F.trim(F.regexp_extract("head", rf"(?dim)^{name}:[ \t]*([^\r\n]*)", 1)), F.lit(""))
 
 
 def _segments(spark: SparkSession, path: str) -> DataFrame:
@@ -115,7 +116,7 @@ def _facts() -> list[Column]:
         _field("WARC-Type").alias("record_type"), _field("WARC-Record-ID").alias("record_id"),
         _field("WARC-Refers-To").alias("refers_to_id"), _field("WARC-Target-URI").alias("target_uri"),
         F.regexp_replace(_field("WARC-Payload-Digest"), "^sha1:", "").alias("stated_digest"),
-        F.regexp_extract("http", r"(?im)^Content-Length:[ \t]*([0-9]+)", 1).try_cast("long").alias("stated_bytes"),
+        F.regexp_extract("http", r"(?dim)^Content-Length:[ \t]*([0-9]+)", 1).try_cast("long").alias("stated_bytes"),
         F.octet_length("payload").cast("long").alias("n_bytes"), sha1_base32(F.col("payload")).alias("digest")]
 
 
@@ -169,17 +170,36 @@ def reached(found: DataFrame) -> DataFrame:
             .groupBy("file", "block", "run").agg(F.min("offset").alias("entry")))
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def _real(spark: SparkSession, path: str) -> DataFrame:
+    """The candidates under ``path``, those that are records marked ``real``."""
+    found = candidates(spark, path)
+    real = (found.join(reached(found), ["file", "block", "run"], "left")
+            .withColumn("real", F.coalesce(F.col("offset") >= F.col("entry"), F.lit(False))).drop("entry"))
+    return materialize(real, "warc_real")
+
+
+def ends(real: DataFrame) -> DataFrame:
+    """(file, file_size, end): where the chain of whole records of each archive ends.
+
+    ``end`` is less than ``file_size`` if the archive is cut off or broken there (0: no whole record).
+    """
+    done = F.when(F.col("real") & (F.col("successor") <= F.col("file_size")), F.col("successor"))
+    return real.groupBy("file", "file_size").agg(F.coalesce(F.max(done), F.lit(0)).alias("end"))
+
+
+def read(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """The records under ``path``: file, offset, type, ids, target, payload size and digest.
 
     n_bytes and digest are those of the payload found in the archive; stated_bytes and
     stated_digest those its headers name, which for a revisit describe the page revisited.
-    A record that the end of its file cuts off is left out.
+    A record that the end of its file cuts off is left out; with ``strict`` a chain that ends
+    before its file does raises, naming such a file.
     """
-    found = candidates(spark, path)
-    real = (found.join(reached(found), ["file", "block", "run"], "left")
-            .withColumn("real", F.coalesce(F.col("offset") >= F.col("entry"), F.lit(False))).drop("entry"))
-    real = materialize(real, "warc_real")
+    real = _real(spark, path)
+    if strict:
+        short = ends(real).filter("end < file_size").first()
+        if short:
+            raise ValueError(f"records end at byte {short['end']} of {short['file_size']} in {short['file']}")
     facts = ["file", "offset", "record_type", "record_id", "refers_to_id", "target_uri",
              "stated_digest", "stated_bytes", "n_bytes", "digest"]
     records = real.filter("real and whole").select(*facts)
@@ -220,16 +240,28 @@ def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     """Write the pages as archives in the shared folder and read them back: one row per page.
 
     page_id, payload_bytes and payload_digest of the full payload, record_type, refers_to and
-    whether what was read is what its header states. An empty table gives an empty result.
+    ``intact``: for a response whether the payload found is what its headers state, for a revisit
+    whether it is empty and its headers state what the response it names was found to hold. If an
+    archive can't be read to its end, or not as many records as pages come back, this raises.
+    An empty table gives an empty result.
     """
     spark = pages.sparkSession
     path = shared_dir(spark, "warc")
     write(pages, path, least)
+    records = materialize(read(spark, path, strict=True).select(
+        "record_type", "record_id", "refers_to_id", "stated_digest", "stated_bytes", "n_bytes", "digest"), "warc_records")
+    n, wanted = records.count(), pages.count()
+    if n != wanted:
+        raise RuntimeError(f"{n} records were read back of {wanted} pages")
     response = F.col("record_type") == "response"
-    return read(spark, path).select(
+    named = records.filter(~response).select(F.col("refers_to_id").alias("record_id")).distinct()
+    held = (records.filter(response).join(named, "record_id", "left_semi")
+            .select(F.col("record_id").alias("refers_to_id"), F.col("digest").alias("stated_digest"),
+                    F.col("n_bytes").alias("stated_bytes"), F.lit(True).alias("held")).distinct())
+    return records.join(held, ["refers_to_id", "stated_digest", "stated_bytes"], "left").select(
         page_id("record_id").alias("page_id"),
         F.when(response, F.col("n_bytes")).otherwise(F.col("stated_bytes")).alias("payload_bytes"),
         F.when(response, F.col("digest")).otherwise(F.col("stated_digest")).alias("payload_digest"),
         "record_type", page_id("refers_to_id").alias("refers_to"),
         F.when(response, (F.col("digest") == F.col("stated_digest")) & (F.col("n_bytes") == F.col("stated_bytes")))
-        .otherwise(F.col("n_bytes") == 0).alias("intact"))
+        .otherwise((F.col("n_bytes") == 0) & F.coalesce("held", F.lit(False))).alias("intact"))

@@ -151,6 +151,47 @@ def test_round_trip_of_very_long_urls(spark):
     assert all(r["intact"] for r in got.collect())
 
 
+def test_urls_that_hold_other_line_separators(spark):
+    """Only a line feed ends a header, whatever else Java or Unicode takes for the end of a line."""
+    rows, forged = [], ("Content-Length: 1", "WARC-Payload-Digest: sha1:X", "WARC-Type: revisit", "WARC-Refers-To: <urn:x-page:7>")
+    for i, mark in enumerate("\u0085\u2028\u2029\x0b\x0c\x1c\r\n"):
+        rows += [(10 * i + k, f"http://x/{mark}{text}{mark}", f"page {i} {k // 2}") for k, text in enumerate(forged)]
+    got = warc.round_trip(pages(spark, rows).coalesce(2))
+    assert as_set(got, *COLS) == brute_warc(rows)
+    assert all(r["intact"] for r in got.collect())
+
+
+def test_archives_that_end_early_and_lost_records_are_told(spark, tmp_path, monkeypatch):
+    whole = "".join(fake_record(f"body {i}") for i in range(5)).encode()
+    for name, raw in (("a", whole), ("b", whole[:-10]), ("c", b"junk" + whole)):
+        (tmp_path / f"{name}.warc").write_bytes(raw)
+    size = len(fake_record("body 0").encode())
+    got = {r["file"][-6:]: (r["end"], r["file_size"]) for r in warc.ends(warc._real(spark, str(tmp_path))).collect()}
+    assert got == {"a.warc": (5 * size, 5 * size), "b.warc": (4 * size, 5 * size - 10), "c.warc": (0, 5 * size + 4)}
+    with pytest.raises(ValueError, match="records end"):
+        warc.read(spark, str(tmp_path), strict=True)
+    read = warc.read
+    monkeypatch.setattr(warc, "read", lambda *a, **b: read(*a, **b).filter("record_id <> '<urn:x-page:3>'"))
+    with pytest.raises(RuntimeError, match="read back"):
+        warc.round_trip(pages(spark, nasty(8)))
+
+
+def test_revisits_are_held_against_the_response_they_name(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "shared_dir", lambda *_: str(tmp_path / "w"))
+    write = warc.write
+
+    def tampered(pages, path, least):
+        write(pages, path, least)
+        for p in (tmp_path / "w").glob("part-*"):  # the response's payload changes, its length stays
+            p.write_bytes(p.read_bytes().replace(b"copied page", b"COPIED page"))
+        for p in (tmp_path / "w").glob(".*.crc"):
+            p.unlink()
+
+    monkeypatch.setattr(warc, "write", tampered)
+    got = warc.round_trip(pages(spark, [(1, "u", "copied page"), (2, "u", "copied page"), (3, "u", "other")]))
+    assert {r["page_id"]: r["intact"] for r in got.collect()} == {1: False, 2: False, 3: True}
+
+
 def test_round_trip_awkward_rows_and_limits(spark):
     rows = [(1, None, None), (2, "u", ""), (3, "u", "x"), (4, None, "x"), (4, None, "x"), (None, None, "x"), (None, "u", "alone"),
             (5, "u", "é😀" * 100_000), (-6, "", "y\x00z")]
