@@ -207,10 +207,16 @@ def label(docs: DataFrame, **options) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, min_score: float = 0.5, **options) -> DataFrame:
-    """The documents whose language is known with at least ``min_score``, with the input's columns."""
+    """The documents whose language is known with at least ``min_score``, with the input's columns.
+
+    If no labelled row is there to learn from, no language can be told from another: then every
+    document with a letter stays.
+    """
     from docmart.llm.common import pack_doc, unpack_doc
 
     model = train(docs, **options)
+    if not model.langs:
+        return docs.filter(F.coalesce(docs["`text`"], F.lit("")).rlike(r"\p{L}"))
     scored = predict(docs.select(pack_doc(docs), "text"), model)
     return unpack_doc(scored.filter((F.col("language.lang_pred") != UNKNOWN)
                                     & (F.col("language.score") >= min_score)))
