@@ -6,10 +6,12 @@ of the canonical form of an entire text is hash-joined to the digests of known l
 notices, which are made by the same expression from the texts below. The table of known digests
 is this fixed list, so it can be broadcast.
 
-Beside whole texts, each line is canonicalised the same way, so that one-line notices inside a
-document are found: a line counts only if the entire line is a known notice.
+Beside whole texts, lines are looked up the same way, so that one-line notices inside a document are
+found: a line counts only if the entire line is a known text. Lines that are longer than every known
+text or hold none of the cue words, one of which every known text holds, can't be known; the others are
+exploded, hash-joined by their digest and gathered again by document.
 
-Only DataFrame functions, one pass over the texts and no shuffle.
+Only DataFrame functions, one pass over the texts; texts are not shuffled.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docmart.llm.common import materialize
+
 # FIXED: equivalent spellings, in the order they are applied.
 SPELLINGS = (
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("licencing", "licensing"),
@@ -142,6 +146,11 @@ COPYRIGHT_LINE = (
     r"(?m)^[ \t/*#;-]*(?:(?:copyright|\(c\)|©)[ \t]*(?:\(c\)|©)?[ \t]*[0-9]{4}[^\n]*"
     r"|(?:copyright[ \t]*(?:\(c\)|©|[<\[{])|\(c\)[ \t]*copyright|©)[^\n]*"
     r"|all rights reserved[ \t\r.!*/]*)$")
+# Lines that begin with "copyright" and a name, at the head of a text or right under a title.
+_TITLE_WORDS = "the|mit|isc|bsd|0bsd|zero|clause|license|licence|new|modified|simplified|revised|or|[0-9]|[ \\t\\r()\"-]"
+HEAD_COPYRIGHT = rf"\A((?:(?:{_TITLE_WORDS})*\n)*)(?:[ \t/*#;-]*copyright[ \t][^\n]*(?:\n[ \t\r]*)*)+"
+# FIXED: every known text holds one of these in its canonical form.
+CUES = ("license", "licensed", "permission", "redistribution", "released", "cc0")
 # Everything in ASCII but letters, digits and the line feed, and common typographic marks.
 MARKS = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F“”‘’«»–—…•·©®™]+"
 
@@ -149,6 +158,7 @@ MARKS = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F“”‘’«»–—…•·©
 def canonical_lines(text: Column) -> Column:
     """The canonical lines of ``text``: words between doubled blanks, so that no two share one."""
     text = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), COPYRIGHT_LINE, "")
+    text = F.regexp_replace(text, HEAD_COPYRIGHT, "$1")
     text = F.regexp_replace(text, MARKS, " ")
     # From here on blanks are single; a blank on either side of a line feed goes.
     text = F.concat(F.lit(" "), F.replace(F.replace(F.replace(text, F.lit("\n "), F.lit("\n")), F.lit(" \n"), F.lit("\n")),
@@ -165,10 +175,18 @@ def one_line(lines: Column) -> Column:
 
 
 def known(spark: SparkSession) -> DataFrame:
-    """(digest, license, longest): the fixed table of known texts, one row per digest."""
+    """(digest, license, length, cued): the fixed table of known texts, one row per digest."""
     rows = spark.createDataFrame([(spdx, text) for spdx, text in KNOWN], "license string, known string")
     text = one_line(canonical_lines(F.col("known")))
-    return rows.groupBy(F.sha2(text, 256).alias("digest")).agg(F.min("license").alias("license"))
+    return rows.groupBy(F.sha2(text, 256).alias("digest")).agg(
+        F.min("license").alias("license"), F.max(F.length(text)).alias("length"), F.max(_cued(text)).alias("cued"))
+
+
+def _cued(line: Column) -> Column:
+    cue = F.lit(False)
+    for word in CUES:
+        cue = cue | F.contains(line, F.lit(word))
+    return cue
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -178,15 +196,24 @@ def scan(docs: DataFrame) -> DataFrame:
     NULL and blank texts have the canonical form of the empty text and no licence. Repeated rows
     each get a row; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    table = known(spark)
-    lines = docs.select("doc_id", canonical_lines(F.col("text")).alias("lines"))
-    # One-line notices: their digests are literals, a fixed list.
-    notices = {r["digest"]: r["license"] for r in table.collect()}
-    of_digest = F.create_map(*[F.lit(x) for pair in sorted(notices.items()) for x in pair])
-    digests = F.transform(F.split("lines", "\n"), lambda x: F.sha2(F.btrim(F.replace(x, F.lit("  "), F.lit(" "))), 256))
-    found = F.filter(F.transform(digests, lambda d: F.try_element_at(of_digest, d)), lambda x: x.isNotNull())
-    whole = lines.select("doc_id", F.sha2(one_line(F.col("lines")), 256).alias("canonical_sha256"),
-                         F.array_join(found, " ").alias("notices"))
-    return (whole.join(F.broadcast(table), F.col("canonical_sha256") == F.col("digest"), "left")
-            .select("doc_id", "canonical_sha256", "license", "notices"))
+    table = materialize(known(docs.sparkSession), "license_known")
+    bound = table.agg(F.max("length").alias("longest"), F.min("cued").alias("cued")).first()
+    if not bound["cued"]:
+        raise ValueError("a known text holds no cue word")
+    table = table.select("digest", "license")
+    single = lambda x: F.btrim(F.replace(x, F.lit("  "), F.lit(" ")))
+    lines = docs.select("doc_id", F.monotonically_increasing_id().alias("row_no"), canonical_lines(F.col("text")).alias("lines"))
+    places = F.filter(F.transform(F.split("lines", "\n"), lambda x, i: F.struct(i.alias("place"), single(x).alias("line"))),
+                      lambda x: _cued(x["line"]) & (F.length(x["line"]) <= bound["longest"]))
+    digests = materialize(lines.select(
+        "doc_id", "row_no", F.sha2(one_line(F.col("lines")), 256).alias("canonical_sha256"),
+        F.transform(F.when(_cued(F.col("lines")), places), lambda x: F.struct(x["place"], F.sha2(x["line"], 256).alias("digest")))
+        .alias("candidates")), "license_digests")
+    # The fixed table is broadcast to both joins; the second groups a document's own lines.
+    found = (digests.select("row_no", F.explode("candidates").alias("c")).select("row_no", "c.place", "c.digest")
+             .join(F.broadcast(table), "digest")
+             .groupBy("row_no").agg(F.sort_array(F.collect_list(F.struct("place", "license"))).alias("found")))
+    whole = F.broadcast(table.withColumnRenamed("digest", "canonical_sha256"))
+    return (digests.drop("candidates").join(whole, "canonical_sha256", "left").join(found, "row_no", "left")
+            .select("doc_id", "canonical_sha256", "license",
+                    F.coalesce(F.array_join("found.license", " "), F.lit("")).alias("notices")))

@@ -30,6 +30,7 @@ def _canonical_lines(text: str) -> str:
     """The canonical form of ``licenses.canonical_lines``."""
     out = f"translate(coalesce({text}, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
     out = f"regexp_replace({out}, {_quote(licenses.COPYRIGHT_LINE)}, '', 'g')"
+    out = f"regexp_replace({out}, {_quote(licenses.HEAD_COPYRIGHT)}, '\\1')"
     out = f"regexp_replace({out}, {_quote(licenses.MARKS)}, ' ', 'g')"
     out = f"replace(replace({out}, chr(10) || ' ', chr(10)), ' ' || chr(10), chr(10))"
     out = f"replace(' ' || replace({out}, chr(10), ' ' || chr(10) || ' ') || ' ', ' ', '  ')"

@@ -188,7 +188,7 @@ def test_quality_empty_and_native(spark):
 
 def brute_canonical(text):
     text = (text or "").translate(str.maketrans(licenses.UPPER, licenses.LOWER))
-    text = re.sub(licenses.COPYRIGHT_LINE, "", text)
+    text = re.sub(licenses.HEAD_COPYRIGHT, r"\1", re.sub(licenses.COPYRIGHT_LINE, "", text))
     lines = []
     for line in re.sub(licenses.MARKS, " ", text).split("\n"):
         line = line.strip(" ")
@@ -240,7 +240,8 @@ def test_licenses_as_they_lie_in_repositories(spark):
         ("MIT", mit.replace("\n", " ").replace("OR COPYRIGHT HOLDERS BE", "OR\nCOPYRIGHT HOLDERS BE")),  # a line of the terms
         ("ISC", "The ISC License\n\n© Someone\n" + isc),
         ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n" + bsd),
-        (None, "MIT License\n\nCopyright holders keep all.\n" + mit)]
+        ("MIT", "MIT License\nCopyright Jane Doe\n" + mit), ("ISC", "Copyright Jane Doe and others\n\nCopyright X\n" + isc),
+        (None, "MIT License\n\nBe nice.\nCopyright holders keep all.\n" + mit)]
     for spdx, name in licenses.FILES:
         with open(f"/usr/share/common-licenses/{name}", encoding="utf-8") as f:
             want.append((spdx, f.read()))
@@ -249,6 +250,21 @@ def test_licenses_as_they_lie_in_repositories(spark):
         x for _, x in sorted(((i, x) for i, (x, _) in enumerate(want)), key=repr)]
 
 
+def test_whole_licences_among_rows(spark):
+    """Known files rendered by row: another case, other spaces and a holder on every third."""
+    texts = [(spdx, text) for spdx, text in licenses.KNOWN if len(text) > 300]
+    rows, want = [], []
+    for i in range(200):
+        spdx, text = texts[i % len(texts)]
+        if i % 3 == 1:
+            text = "Copyright (c) 2001 Holder %d\n\n" % i + text.replace(" ", "  ")
+        if i % 3 == 2:
+            text = text + "\nEnd of copy %d." % i
+        rows.append((i, text, "en", "a", 1))
+        want.append((i, None if i % 3 == 2 else spdx))
+    assert as_set(licenses.scan(documents(spark, rows)), "doc_id", "license") == sorted(want, key=repr)
+
+
 def test_licenses_empty_and_native(spark):
     assert licenses.scan(documents(spark, [])).count() == 0
     plan = licenses.scan(documents(spark, awkward()))._jdf.queryExecution().toString()
@@ -299,7 +315,10 @@ def test_codec_drops_old_chunks_without_changing_results(model, monkeypatch):
 def test_check_finds_a_wrong_encoding(model):
     codec, _ = model
     with pytest.raises(RuntimeError):
-        codec._check({" the": codec.byte[0]})
+        codec._check({"\u2581the": codec.byte[0]})
+    for wrong in (["the"], [codec.begin + codec.end], ["The"]), (["the"], codec.encode(["the"]), ["The"]):
+        with pytest.raises(RuntimeError):
+            codec.check_whole(*wrong)
 
 
 def test_digests_of_awkward_rows(spark, model):
