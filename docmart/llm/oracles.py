@@ -96,7 +96,26 @@ SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
 FROM p
 """
 
+EMBEDDINGS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(node, seen) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT reach.node, pairs.b FROM reach JOIN pairs ON reach.seen = pairs.a
+), roots AS (SELECT node, min(seen) AS root FROM reach GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, root AS component_id, vec_id = root AS kept
+FROM embeddings JOIN roots ON vec_id = node LEFT JOIN counts ON vec_id = a
+"""
+
 ORACLES = {
+    "op13_embeddings": EMBEDDINGS,
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op5_warc": WARC,
     "op8_exact_dedup": EXACT_DEDUP,

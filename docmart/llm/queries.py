@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmart.llm import exact_dedup, langid, licenses, mixing, quality, sentencepiece_codec, sharding, simhash, substring_dedup, warc
+from docmart.llm import (
+    alignment, embedding_dedup, exact_dedup, langid, licenses, mixing, periodic, quality, sentencepiece_codec, sharding,
+    simhash, substring_dedup, warc,
+)
 from docmart.llm.common import read
 
 
-def tokenizer_path() -> str:
-    """Where the public vocabulary lies; a parameter of the operator."""
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
+    """Where a public vocabulary lies; a parameter of the operators."""
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +71,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), shards=8)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in byte-level and sentence pieces, aligned by sparse products."""
+    return alignment.profile(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path())
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, every tenth made periodic from a place on."""
+    return periodic.profile(periodic.planted(read(spark, sf_dir, "documents")))
+
+
+def op13_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all embeddings of equal labels, at a cosine of 0.93 or more."""
+    return embedding_dedup.label(read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_substring_dedup, op3_quality, op4_language_id, op5_warc, op6_sentencepiece, op7_simhash, op8_exact_dedup, op9_license_scan, op10_sharding,
+    op11_alignment, op12_periodic, op13_embeddings,
 )}
