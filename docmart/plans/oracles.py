@@ -277,7 +277,7 @@ SELECT o_custkey AS CODIGO_TRAMITE, o_orderkey AS ID_PEDIDO, o_orderpriority AS
 oracle("wide_main_table", f"""
 WITH c AS (
   SELECT o_custkey AS CODIGO_TRAMITE, o_orderpriority AS CONCEPTO,
-         max({_price_dec.format(c=_price.format(c='o_totalprice'))}) AS PRECIO_DEC FROM orders GROUP BY ALL),
+         {_price_dec.format(c=_price.format(c='o_totalprice'))} AS PRECIO_DEC FROM orders),
 costs AS ({_rollup_sql('c', 'CODIGO_TRAMITE')}),
 marker AS (SELECT o_custkey AS CODIGO_TRAMITE, 'Tiene pedidos urgentes' AS MARCO_NORMATIVO
            FROM orders WHERE regexp_matches(lower(o_orderpriority), 'urgent') GROUP BY o_custkey),
@@ -312,6 +312,11 @@ oracle("retention_window", f"""
 SELECT event_id, user_id, event_type FROM events
 WHERE ts > (SELECT max(ts) FROM events) - INTERVAL {Q.RETENTION_DAYS} DAY""")
 
+oracle("expired_landing", f"""
+SELECT event_id, user_id, event_type, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+       CAST(day(ts) AS INTEGER) AS day
+FROM events WHERE ts::DATE > (SELECT max(ts)::DATE FROM events) - INTERVAL {Q.RETENTION_DAYS} DAY""")
+
 oracle("audit_publish", f"""
 SELECT r_regionkey, r_name, {lit(Q.RUN_TS)} AS insert_into_dl_timestamp FROM region""")
 

@@ -104,11 +104,11 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     base = shared_dir(spark, "customers")
     rows = customer_records(spark, sf_dir)
-    version = lambda changed, at: rows.withColumns({"changed": F.lit(changed), "landed_at": F.lit(at).cast("timestamp")})
+    version = lambda changed: rows.withColumn("changed", F.lit(changed))
     old = F.lit("Viejo")
-    landing.land_json(version("1700003600", MORNING).withColumn("title", old), base + "/raw", "landed_at")
-    landing.land_json(version("1700003600", EVENING).unionByName(version("999999999", EVENING).withColumn("title", old)),
-                      base + "/raw", "landed_at")
+    landing.land_json(version("1700003600").withColumn("title", old), base + "/raw", MORNING)
+    landing.land_json(version("1700003600").unionByName(version("999999999").withColumn("title", old)),
+                      base + "/raw", EVENING)
     return medallion.raw_to_staging(spark, base + "/raw", base + "/staging")
 
 

@@ -27,6 +27,8 @@ QUERIES: dict[str, Query] = {}
 
 # Fixed run timestamp for reproducible audited publishes.
 RUN_TS = "2024-01-01 00:00:00"
+# When the queries land their snapshots.
+LANDING_TS = "2024-02-01 06:00:00"
 
 
 def query(fn: Query) -> Query:
@@ -328,11 +330,9 @@ def block_bridge(spark, sf_dir):
     """M3 + J5: requirements and documents of the same (order, block), as a
     linear group bridge."""
     rows = _doc_rows(spark, sf_dir)
-    reqs = rows.select("l_orderkey", "l_returnflag",
-                       X.content_key(F.col("l_partkey").cast("string")).alias("ID_REQUISITO_TRAMITE"))
-    docs = rows.filter(F.col("l_linestatus") == "F").select(
-        "l_orderkey", "l_returnflag", X.content_key(*DOC_KEY).alias("ID_DOCUMENTO"))
-    return star.build_bridge(reqs, docs, ["l_orderkey", "l_returnflag"], "ID_REQUISITO_TRAMITE", "ID_DOCUMENTO")
+    return star.build_bridge_from(
+        rows, ["l_orderkey", "l_returnflag"], X.content_key(F.col("l_partkey").cast("string")),
+        F.when(F.col("l_linestatus") == "F", X.content_key(*DOC_KEY)))
 
 
 PLATFORM_COLS = ["NOMBRE_PLATAFORMA_DE_TRAMITACION", "LINK_AL_INICIO_DEL_TRAMITE", "MODALIDAD",
@@ -444,17 +444,16 @@ def _epoch_text(c):
     return F.unix_timestamp(c).cast("string")
 
 
-def _order_costs(orders):
+def _order_costs(orders, *more):
     return orders.select(
         F.col("o_custkey").alias("CODIGO_TRAMITE"), F.col("o_orderkey").alias("ID_PEDIDO"),
         F.col("o_orderpriority").alias("CONCEPTO"),
-        X.decimal_from_text(price_text(F.col("o_totalprice"))).alias("PRECIO_DEC"))
+        X.decimal_from_text(price_text(F.col("o_totalprice"))).alias("PRECIO_DEC"), *more)
 
 
 @query
 def wide_main_costs(spark, sf_dir):
-    """A1 as long rows: every order as a cost item of its customer. A customer's orders grow with
-    the data, so they are rows; the lists of ``wide_main_table`` hold the dearest of a priority only."""
+    """A1 as long rows: every order as a cost item of its customer, without a shuffle."""
     costs = _order_costs(table(spark, sf_dir, "orders"))
     return costs.select("CODIGO_TRAMITE", "ID_PEDIDO", "CONCEPTO", F.col("PRECIO_DEC").cast("string").alias("COSTO"))
 
@@ -468,20 +467,16 @@ def wide_main_table(spark, sf_dir):
         F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("FINALIDAD"),
         F.when(F.col("c_nationkey") != 0, F.col("c_nationkey").cast("string")).alias("ID_DEPENDENCIA"))
     orders = table(spark, sf_dir, "orders")
-    # One cost item per customer and priority (the highest price, combined map-side), so a
-    # customer's list is bounded by the priorities, however many orders there are. The other
-    # orders are not in the lists; ``wide_main_costs`` has every one.
-    costs = _order_costs(orders).groupBy("CODIGO_TRAMITE", "CONCEPTO").agg(F.max("PRECIO_DEC").alias("PRECIO_DEC"))
-    cost_agg = star.list_rollup(costs, "CODIGO_TRAMITE", "PRECIO_DEC", "CONCEPTO",
-                                "MONTO_COSTO", "CONCEPTO_PAGO", "MAX_COSTO", "REQUIERE_PAGO")
-    marker = star.presence_marker(orders.withColumnRenamed("o_custkey", "CODIGO_TRAMITE"),
-                                  "CODIGO_TRAMITE", "o_orderpriority", "urgent", "Tiene pedidos urgentes",
-                                  "MARCO_NORMATIVO")
-    dates = orders.groupBy(F.col("o_custkey").alias("CODIGO_TRAMITE")).agg(
-        F.min_by(_epoch_text(F.col("o_orderdate")), F.struct("o_orderdate", "o_orderkey")).alias("created"),
-        F.max_by(_epoch_text(F.col("o_orderdate")), F.struct("o_orderdate", "o_orderkey")).alias("changed"))
+    costs = _order_costs(orders, "o_orderdate", "o_orderkey")
+    first = F.struct("o_orderdate", "o_orderkey")
+    # Every order is in the lists; marker and dates are taken in the same pass over the orders.
+    facts = star.list_rollup(
+        costs, "CODIGO_TRAMITE", "PRECIO_DEC", "CONCEPTO", "MONTO_COSTO", "CONCEPTO_PAGO", "MAX_COSTO", "REQUIERE_PAGO",
+        also={"MARCO_NORMATIVO": F.max(F.when(F.lower("CONCEPTO").rlike("urgent"), "Tiene pedidos urgentes")),
+              "created": F.min_by(_epoch_text(F.col("o_orderdate")), first),
+              "changed": F.max_by(_epoch_text(F.col("o_orderdate")), first)})
     wide = star.enrich_main(
-        cust, "CODIGO_TRAMITE", [cost_agg, marker, dates],
+        cust, "CODIGO_TRAMITE", [facts],
         fills={"FINALIDAD": rules.PURPOSE_DEFAULT, "ID_DEPENDENCIA": rules.DEPENDENCY_DEFAULT},
         constants={"FECHA_ALTA_TRAMITE": X.timestamp_from_epoch_text("created"),
                    "FECHA_ULT_MODIFICACION_TRAMITE": X.timestamp_from_epoch_text("changed"),
@@ -543,12 +538,24 @@ def land_and_scan_json(spark, sf_dir):
     """S1 + S2 + S5: land events as dated JSON, scan them back with a fixed schema."""
     ev = table(spark, sf_dir, "events")
     root = shared_dir(spark, "landing") + "/events"
-    landing.land_json(ev, root, "ts")
+    landing.land_json(ev, root, LANDING_TS, day_col="ts")
     back = landing.scan_json(spark, root, ev.schema)
     return back.select("event_id", _ts_text("ts").alias("ts"), "user_id", "event_type", "value", "props",
                        "year", "month", "day")
 
 
+@query
+def expired_landing(spark, sf_dir):
+    """Events landed by day; folders of expired days are removed by the listing alone, and a scan
+    with retention opens no others."""
+    ev = table(spark, sf_dir, "events")
+    root = shared_dir(spark, "expired") + "/events"
+    landing.land_json(ev, root, LANDING_TS, day_col="ts")
+    landing.expire(spark, root, 2 * RETENTION_DAYS)
+    kept = landing.retained(spark, root, landing.scan_json(spark, root, ev.schema), RETENTION_DAYS)
+    return kept.select("event_id", "user_id", "event_type", "year", "month", "day")
+
+
 SPLIT_TS = "2024-01-15 00:00:00"
 
 
@@ -687,9 +694,6 @@ def page_residual(spark, sf_dir):
 # The two jobs end to end (M6) on records derived from the given tables
 # ---------------------------------------------------------------------------
 
-LANDING_TS = "2024-02-01 06:00:00"
-
-
 def order_records(spark, sf_dir):
     """Each order as a nested content record (RAW_SCHEMA), built row by row:
     body with the priority (and a level for final orders), the customer as the
@@ -736,8 +740,7 @@ def order_records(spark, sf_dir):
             F.array(F.struct(F.when(F.col("o_orderpriority") == URGENT, F.lit(rules.IN_PERSON_MODALITY))
                              .otherwise(F.lit("1")).alias("target_id"))).alias("field_tramite_modalidad"),
             F.array(cost, norm, step).alias("field_content"),
-        ).alias("fields"),
-        F.lit(LANDING_TS).cast("timestamp").alias("landed_at"))
+        ).alias("fields"))
 
 
 @query
@@ -747,7 +750,7 @@ def procedures_main_table(spark, sf_dir):
     from docmart.plans import medallion
 
     base = shared_dir(spark, "procedures")
-    landing.land_json(order_records(spark, sf_dir), base + "/raw", "landed_at")
+    landing.land_json(order_records(spark, sf_dir), base + "/raw", LANDING_TS)
     staging = medallion.raw_to_staging(spark, base + "/raw", base + "/staging")
     main = medallion.staging_to_consume(spark, staging)["tramites"]
     ts = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
