@@ -501,3 +501,35 @@ from docmart.plans import procedures_sql  # noqa: E402
 
 oracle("staging_roundtrip", procedures_sql.STAGING)
 oracle("consume_tables", procedures_sql.CONSUME)
+
+
+# ---------------------------------------------------------------------------
+# Markup as editors leave it (plans.markup)
+# ---------------------------------------------------------------------------
+
+_sup = "(SELECT s_suppkey, CAST(s_suppkey AS VARCHAR) AS k, s_suppkey % 3 AS m FROM supplier)"
+
+oracle("markup_documents", f"""
+SELECT s_suppkey, d.* FROM {_sup}, LATERAL (VALUES
+  ('Planilla ' || k, 'firmada', 'https://x.example/' || k || '?a=1&b=2', 'Obligatoria'),
+  ('Constancia ' || k, 'copiaSello ' || k, NULL, 'Obligatoria'),
+  ('Sello ' || k, '', NULL, 'Obligatoria'))
+  AS d(NOMBRE_DOCUMENTO, DESCRIPCION_DOCUMENTO, LINK_MODELO, TIPO_DOCUMENTO)""")
+
+oracle("markup_requirements", f"""
+SELECT s_suppkey, d.* FROM {_sup}, LATERAL (VALUES
+  ('Persona ' || k || ': Estatuto', 'Y', 'Y'), ('Persona ' || k || ': Poder (opcional)', 'N', 'Y'), ('Nota ' || k, 'Y', 'Y'))
+  AS d(NOMBRE_REQUISITO, OBLIGATORIEDAD, PERSONA_FISICA) WHERE m <> 0
+UNION ALL SELECT s_suppkey, 'Presentar nota ' || k, 'Y', 'Y' FROM {_sup} WHERE m = 0""")
+
+oracle("markup_organisations", f"""
+SELECT s_suppkey, 'Ministerio ' || k AS NOMBRE_DEPENDENCIA,
+       CASE WHEN m = 0 THEN 'Av. Lima ' || k || ' Piso 2' ELSE ': Sede ' || k END AS DIRECCION_DEPENDENCIA,
+       'Lunes Martes' AS HORARIO_DEPENDENCIA, 'Otro dato Aviso' AS DESCRIPCION_DEPENDENCIA
+FROM {_sup}""")
+
+oracle("markup_elements", f"""
+SELECT s_suppkey, d.* FROM {_sup}, LATERAL (VALUES
+  (0, 8, 'div', 0, 'Uno & dosVer másxyz', '/' || k), (1, 1, 'h2', 0, 'Uno & dos', NULL), (2, 6, 'ul', 0, 'Ver másx', '/' || k),
+  (3, 5, 'li', 1, 'Ver más', '/' || k), (4, 4, 'a', 1, 'Ver', NULL))
+  AS d(place, last, tag, depth, text, target)""")
