@@ -533,3 +533,41 @@ SELECT s_suppkey, d.* FROM {_sup}, LATERAL (VALUES
   (0, 8, 'div', 0, 'Uno & dosVer másxyz', '/' || k), (1, 1, 'h2', 0, 'Uno & dos', NULL), (2, 6, 'ul', 0, 'Ver másx', '/' || k),
   (3, 5, 'li', 1, 'Ver más', '/' || k), (4, 4, 'a', 1, 'Ver', NULL))
   AS d(place, last, tag, depth, text, target)""")
+
+
+# ---------------------------------------------------------------------------
+# Snapshots (plans.snapshots)
+# ---------------------------------------------------------------------------
+
+_old = """(SELECT o_orderkey, o_custkey, o_orderpriority, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS o_totalprice
+  FROM orders WHERE o_orderkey % 7 <> 0)"""
+_new = """(SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 13 <> 0 THEN o_orderpriority END AS o_orderpriority, o_totalprice
+  FROM orders WHERE o_orderkey % 11 <> 0)"""
+
+oracle("snapshot_difference", f"""
+SELECT 'insert' AS op, * FROM {_new} WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {_old})
+UNION ALL SELECT 'delete', * FROM {_old} WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {_new})
+UNION ALL SELECT 'update', n.* FROM {_new} n JOIN {_old} o USING (o_orderkey)
+  WHERE n.o_orderpriority IS DISTINCT FROM o.o_orderpriority OR n.o_totalprice IS DISTINCT FROM o.o_totalprice""")
+
+oracle("snapshot_difference_applied", f"SELECT * FROM {_new}")
+
+oracle("record_history", """
+SELECT c_custkey, v.* FROM (SELECT c_custkey, c_mktsegment AS s, c_custkey % 4 AS kind FROM customer), LATERAL (
+  SELECT CASE WHEN o THEN NULL ELSE s END AS segment, a AS valid_from, b AS valid_to FROM (VALUES
+    (0, false, 1, NULL), (1, false, 1, 3), (1, false, 4, NULL), (2, false, 1, 2), (2, true, 2, 4), (2, false, 4, NULL), (3, false, 1, 3))
+    AS t(k, o, a, b) WHERE k = kind) v""")
+
+oracle("quarantined_records", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 10 < 3 THEN 'quarantined' ELSE 'good' END AS state,
+       CASE o_orderkey % 10 WHEN 0 THEN 'malformed' WHEN 1 THEN 'fields.tags: array expected'
+         WHEN 2 THEN 'fields.tags[]: struct expected' ELSE o_orderpriority END AS detail
+FROM orders""")
+
+oracle("json_array_records", r"""
+SELECT c_custkey AS id, 'a "quoted" {brace} [list] \ and ñ ' || c_name AS note, c_mktsegment || ',}' AS inner FROM customer""")
+
+oracle("versioned_publish", f"""
+SELECT n_nationkey, r_name, {lit(Q.RUN_TS)} AS insert_into_dl_timestamp FROM nation JOIN region ON n_regionkey = r_regionkey""")
+
+oracle("incremental_jobs", ORACLES["staging_roundtrip"])

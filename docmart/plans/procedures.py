@@ -15,11 +15,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmart import rules
+from docmart import rules, schema
 from docmart.plans import medallion
 from docmart.plans.queries import price_text, query, table
 from docmart.session import shared_dir
 from docmart.sources import landing
+from docmart.streaming import upsert
 
 NOTHING = "∅"
 MORNING, EVENING = "2024-02-01 06:00:00", "2024-02-01 18:00:00"
@@ -127,7 +128,29 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 @query
 def staging_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M6 (S1-S3, S11, D4, F3, G1-G5, P8): the nine staging tables of the customers' records."""
-    s = _staged(spark, sf_dir)
+    return _staging_rows(_staged(spark, sf_dir))
+
+
+@query
+def incremental_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 + D4 + M6: two landings, each followed by an incremental run that mines only what is new. The second changes
+    a third of the records and adds another; then the whole of it is delivered once more. The tables end as a full
+    run makes them."""
+    base = shared_dir(spark, "upsert")
+    third = F.col("id").cast("long") % 3
+    rows = customer_records(spark, sf_dir).withColumn("changed", F.lit("1700003600"))
+    run = upsert.Upsert(spark, base + "/raw", base + "/tables", buckets=8)
+    first = rows.filter(third < 2).withColumn("title", F.when(third == 1, "Viejo").otherwise(F.col("title")))
+    landing.land_json(first, base + "/raw", MORNING)
+    run.run()
+    landing.land_json(rows.filter(third > 0), base + "/raw", EVENING)
+    run.run()
+    again = landing.scan_json(spark, base + "/raw", schema.RAW_SCHEMA)
+    run.take(again.filter(F.col("time") == "t180000"), 1_000)
+    return _staging_rows(run.staging())
+
+
+def _staging_rows(s: dict[str, DataFrame]) -> DataFrame:
     t = "ID_TRAMITE"
     return _union([
         _tagged("tramites_base", s["tramites_base"], "CODIGO_TRAMITE", [
