@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmart.operators import html_tree, mining
-from docmart.plans.procedures import _text
 from docmart.plans.queries import query, table
+from docmart.plans.queries import text_of as _text
 
 
 def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from docmart import rules, schema
 from docmart.plans import medallion
 from docmart.plans.queries import price_text, query, table
+from docmart.plans.queries import text_of as _text
 from docmart.session import shared_dir
 from docmart.sources import landing
 from docmart.streaming import upsert
@@ -34,15 +35,6 @@ _ITEM = "struct<id:string,type:string,fields:struct<field_name:string,field_pric
 _STEPS = "array<struct<id:string,type:string,fields:struct<title:string,body:string>>>"
 
 
-def _text(template: str, *values: Column) -> Column:
-    """``template`` with its {} replaced by values."""
-    parts = template.split("{}")
-    out = [F.lit(parts[0])]
-    for v, p in zip(values, parts[1:]):
-        out += [v, F.lit(p)]
-    return F.concat(*out)
-
-
 def _turn(n: Column, values: list[Column]) -> Column:
     """``values`` in turn by ``n``."""
     return F.element_at(F.array(*values), (n % len(values) + 1).cast("int"))

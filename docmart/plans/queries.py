@@ -45,6 +45,15 @@ def price_text(c) -> F.Column:
     return F.concat(F.lit("$"), c.cast("decimal(12,2)").cast("string"))
 
 
+def text_of(template: str, *values: F.Column) -> F.Column:
+    """``template`` with its {} replaced by values."""
+    parts = template.split("{}")
+    out = [F.lit(parts[0])]
+    for v, p in zip(values, parts[1:]):
+        out += [v, F.lit(p)]
+    return F.concat(*out)
+
+
 # ---------------------------------------------------------------------------
 # Text functions
 # ---------------------------------------------------------------------------
