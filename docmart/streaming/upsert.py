@@ -108,6 +108,9 @@ class Upsert:
             for name in schema.STAGING_TABLES:
                 key = KEY.get(name, "ID_TRAMITE")
                 if name != "dependencias":
+                    # A table that never had a row has no file that would tell its columns.
+                    if _whole(spark, self.path(f"_schemas/{name}")) is None:
+                        spark.createDataFrame([], staging[name].schema).write.mode("overwrite").parquet(self.path(f"_schemas/{name}"))
                     _replace(spark, self.path(name), staging[name], key, ids, bucket(F.col(key), self.buckets, batch_id))
             # Last: from now on the batch's records are the newest known.
             _replace(spark, self.path("records"), changed.drop("bucket"), "id", ids, bucket(F.col("id"), self.buckets, batch_id))
@@ -137,7 +140,9 @@ class Upsert:
     def staging(self) -> dict[str, DataFrame]:
         """The nine staging tables as they stand. Organisations belong to many records: they are derived from the
         newest version of every record."""
-        out = {n: self.spark.read.parquet(self.path(n)).drop("bucket") for n in schema.STAGING_TABLES if n != "dependencias"}
+        columns = lambda n: self.spark.read.parquet(self.path(f"_schemas/{n}")).schema
+        out = {n: self.spark.read.schema(columns(n)).parquet(self.path(n)).drop("bucket")
+               for n in schema.STAGING_TABLES if n != "dependencias"}
         records = self.spark.read.parquet(self.path("records"))
         return out | {"dependencias": medallion.organisations_of(records)}
 
