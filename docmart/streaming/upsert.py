@@ -104,7 +104,7 @@ class Upsert:
             changed = spark.read.parquet(f"{log}/changed")
         if not changed.isEmpty():
             ids = changed.select("id", "bucket")
-            staging = medallion.staging_of(changed.drop(*ORDER[1:], "bucket"))
+            staging = medallion.staging_of(changed.drop(*ORDER[1:], "bucket"), organisations=False)
             for name in schema.STAGING_TABLES:
                 key = KEY.get(name, "ID_TRAMITE")
                 if name != "dependencias":
