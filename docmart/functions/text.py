@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docmart import rules
-from docmart.functions import arrow
+from docmart.functions import arrow, matcher
 
 WS = rules.WS
 
@@ -229,18 +229,7 @@ def payment_labels(text, patterns: Sequence[tuple[str, str]] = rules.PAYMENT_PAT
     """
     t = F.regexp_replace(_col(text), "<[^>]+>", " ")
     t = F.regexp_replace(t, r"\\[nrtbf]", " ")
-    folded = fold(unescape(t))
-    # A cheap substring test gates each regex: a match implies the literal.
-    hits = [F.when(folded.contains(required_literal(pat)) & folded.rlike("(?iU)" + pat), F.lit(label))
-            for label, pat in patterns]
-    return F.array_sort(F.filter(F.array(*hits), lambda x: x.isNotNull()))
-
-
-def required_literal(pattern: str) -> str:
-    """A lower-case word every match of ``pattern`` contains: its first run of
-    three or more letters once escapes and optional parts are removed."""
-    bare = re.sub(r"\\[a-zA-Z]|\[[^\]]*\][?*]?|.[?*]", " ", pattern)
-    return re.search(r"[a-z]{3,}", bare).group(0)
+    return matcher.labels(unescape(t), patterns)
 
 
 def decimal_from_text(c, style: str = "plain", precision: int = 10, scale: int = 2) -> Column:

@@ -80,6 +80,11 @@ oracle("label_dictionary", f"""
 SELECT doc_id, unnest(list_filter([{_pay_hits}], lambda x: x IS NOT NULL)) AS NOMBRE_MEDIO_PAGO
 FROM (SELECT doc_id, {_pay_text} AS f FROM ({_cued('documents', 'doc_id', 'text', Q.PAYMENT_CUES)}))""")
 
+oracle("label_dictionary_large", f"""
+SELECT o_orderkey, array_to_string(list_sort(list_distinct(list_filter([
+  CASE WHEN o_custkey % 5 <> 4 THEN 'Tasa ' || (o_orderkey % {Q.DICTIONARY_SIZE}) END,
+  'Tasa ' || (o_custkey % {Q.DICTIONARY_SIZE})], lambda x: x IS NOT NULL))), '|') AS labels FROM orders""")
+
 oracle("url_classifier", f"""
 WITH r AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN {_cue('page_id', Q.LINK_CUES)} ELSE url END AS url,
                   '<a href="' || {_cue('page_id', Q.LINK_CUES)} || '">x</a> ' || html AS html FROM pages),

@@ -132,6 +132,25 @@ def label_dictionary(spark, sf_dir):
         .filter(F.col("NOMBRE_MEDIO_PAGO").isNotNull())
 
 
+#: A dictionary of this many labels, one pattern each.
+DICTIONARY_SIZE = 2000
+TARIFF_PATTERNS = [(f"Tasa {k}", rf"\btasa\s*{k}\b") for k in range(DICTIONARY_SIZE)]
+
+
+@query
+def label_dictionary_large(spark, sf_dir):
+    """T5 with a dictionary of thousands of labels: each order's note names one in one of several spellings, a second
+    one, a longer number and a word that only begins like one."""
+    o = table(spark, sf_dir, "orders")
+    code = (F.col("o_orderkey") % DICTIONARY_SIZE).cast("string")
+    other = (F.col("o_custkey") % DICTIONARY_SIZE).cast("string")
+    spelling = F.element_at(F.array(*[F.lit(x) for x in ("<b>TASA</b> ", "Tàsa&nbsp;", "tasa", "tasa\\n", "tasar ")]),
+                            (F.col("o_custkey") % 5 + 1).cast("int"))
+    note = text_of("Abonar {}{}, tasa {}x y tasa {}0000; o bien (tasa {}). {}", spelling, code, code, code, other, F.col("o_orderpriority"))
+    found = o.select("o_orderkey", X.payment_labels(note, TARIFF_PATTERNS).alias("labels"))
+    return found.select("o_orderkey", F.array_join("labels", "|").alias("labels"))
+
+
 @query
 def url_classifier(spark, sf_dir):
     """T6 over each page's URL and over the first link of its HTML; C1 flag."""
