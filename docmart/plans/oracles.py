@@ -576,3 +576,26 @@ oracle("versioned_publish", f"""
 SELECT n_nationkey, r_name, {lit(Q.RUN_TS)} AS insert_into_dl_timestamp FROM nation JOIN region ON n_regionkey = r_regionkey""")
 
 oracle("incremental_jobs", ORACLES["staging_roundtrip"])
+
+
+# ---------------------------------------------------------------------------
+# Bucketed staging tables (plans.copartition)
+# ---------------------------------------------------------------------------
+
+oracle("copartitioned_main_table", f"""
+WITH items AS (
+  SELECT o_custkey, o_orderkey AS k, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS a,
+         CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority ELSE {lit(rules.COST_DEFAULT_CONCEPT)} END AS l FROM orders),
+facts AS (
+  SELECT o_custkey,
+         coalesce(string_agg(CAST(CAST(a AS DECIMAL(10,2)) AS VARCHAR), '|' ORDER BY a, l) FILTER (a IS NOT NULL), '') AS amounts,
+         string_agg(l, '|' ORDER BY a IS NULL, a, l) AS labels, max(a) AS top,
+         max(CASE WHEN k % 6 = 0 THEN {lit(rules.TARIFF_LAW_MARKER)} END) AS marker, min(CASE WHEN k % 3 = 0 THEN k END) AS step
+  FROM items GROUP BY o_custkey)
+SELECT CAST(c_custkey AS VARCHAR) AS CODIGO_TRAMITE, '2023-11-14 22:13:20' AS FECHA_ALTA_TRAMITE, true AS SIN_MODIFICACION,
+       c_name AS NOMBRE, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment ELSE {lit(rules.PURPOSE_DEFAULT)} END AS FINALIDAD,
+       CASE WHEN c_custkey % 4 <> 0 THEN CAST(c_nationkey AS VARCHAR) ELSE {lit(rules.DEPENDENCY_DEFAULT)} END AS ID_DEPENDENCIA,
+       amounts AS MONTO_COSTO, labels AS CONCEPTO_PAGO,
+       CASE WHEN o_custkey IS NULL THEN NULL WHEN top > 0 THEN 'Y' ELSE 'N' END AS REQUIERE_PAGO,
+       marker AS MARCO_NORMATIVO, 'https://turnos.example/' || step AS CANAL_TURNO
+FROM customer LEFT JOIN facts ON o_custkey = c_custkey""")

@@ -792,4 +792,4 @@ def procedures_main_table(spark, sf_dir):
 
 
 # The two jobs over awkward records register themselves.
-from docmart.plans import markup, procedures, snapshots  # noqa: E402, F401
+from docmart.plans import copartition, markup, procedures, snapshots  # noqa: E402, F401
