@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmart.operators import html_tree, mining
+from docmart.operators.extract import Rule, extract_table, heading
 from docmart.plans.queries import query, table
 from docmart.plans.queries import text_of as _text
 
@@ -70,3 +71,23 @@ def markup_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            html_tree.text(e).alias("text"), html_tree.link_parts(e)[-1].alias("target")))
     rows = pages.select("s_suppkey", F.explode_outer(found).alias("e")).filter(F.col("e").isNotNull())
     return rows.select("s_suppkey", "e.*")
+
+
+ITEM_RULES = [
+    Rule("Requisito", anchor=heading("^requisitos$")),
+    Rule("Contacto", anchor=heading("contacto"), target=("p",)),
+    Rule("Suelto", unless=("Requisito",)),
+    Rule("Celda", tags=("td", "th"), absent=("textarea",)),
+]
+
+
+@query
+def extracted_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: items by a table of rules: a list and a paragraph behind headings, list items where there is no such heading, cells
+    unless the page has a text area. One page in three lacks the heading, one the area."""
+    s = _suppliers(spark, sf_dir)
+    html = F.concat(
+        _text("<h2>Trámite {}</h2><p>Intro</p>", F.col("k")), F.when(F.col("m") != 0, "<h3><b>REQUISITOS</b></h3>").otherwise(""),
+        _text('<div><ul><li>DNI {}<li><a href="/f/{}">Formulario</a> firmado</ul></div><h3>Contacto</h3><i>x</i><p>Mail {}'
+              "<table><tr><td>Celda {}</table>", *[F.col("k")] * 4), F.when(F.col("m") == 2, "<textarea><td>No</textarea>").otherwise(""))
+    return extract_table(s.select("s_suppkey", html.alias("html")), ["s_suppkey"], "html", ITEM_RULES).drop("POS")

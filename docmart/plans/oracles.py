@@ -539,6 +539,13 @@ SELECT s_suppkey, d.* FROM {_sup}, LATERAL (VALUES
   (3, 5, 'li', 1, 'Ver más', '/' || k), (4, 4, 'a', 1, 'Ver', NULL))
   AS d(place, last, tag, depth, text, target)""")
 
+oracle("extracted_items", f"""
+SELECT s_suppkey, d.* FROM {_sup}, LATERAL (VALUES
+  (CASE WHEN m <> 0 THEN 'Requisito' ELSE 'Suelto' END, 'DNI ' || k, '', NULL, NULL),
+  (CASE WHEN m <> 0 THEN 'Requisito' ELSE 'Suelto' END, 'Formulario firmado', 'Formulario', 'firmado', '/f/' || k),
+  ('Contacto', 'Mail ' || k, '', NULL, NULL)) AS d(KIND, full_text, link_text, rest_text, href)
+UNION ALL SELECT s_suppkey, 'Celda', 'Celda ' || k, '', NULL, NULL FROM {_sup} WHERE m <> 2""")
+
 
 # ---------------------------------------------------------------------------
 # Snapshots (plans.snapshots)
