@@ -9,6 +9,6 @@ streaming/  incremental file ingestion with Structured Streaming
 plans/      end-to-end jobs (raw -> staging -> consume) and the registered queries
 """
 
-from docmart.session import get_session, shared_dir
+from docmart.session import get_session, scratch, shared_dir
 
-__all__ = ["get_session", "shared_dir"]
+__all__ = ["get_session", "scratch", "shared_dir"]

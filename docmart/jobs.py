@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 from docmart import schema
 from docmart.plans import medallion
-from docmart.session import get_session
+from docmart.session import get_session, scratch
 
 
 def parser() -> argparse.ArgumentParser:
@@ -33,15 +33,16 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
-    """Run one job; returns its tables."""
+    """Run one job; returns its tables as written. Its intermediate tables are removed."""
     args = parser().parse_args(argv)
     spark = spark or get_session(app=f"docmart-{args.job}")
-    if args.job == "raw-to-staging":
-        return medallion.raw_to_staging(spark, args.raw, args.staging, snapshots=args.snapshots,
-                                        multiline=args.multiline, retention_days=args.retention_days)
-    root = args.staging.rstrip("/")
-    staging = {name: spark.read.parquet(f"{root}/{name}") for name in schema.STAGING_TABLES}
-    return medallion.staging_to_consume(spark, staging, args.consume, args.database, args.run_ts)
+    with scratch(spark):
+        if args.job == "raw-to-staging":
+            return medallion.raw_to_staging(spark, args.raw, args.staging, snapshots=args.snapshots,
+                                            multiline=args.multiline, retention_days=args.retention_days)
+        root = args.staging.rstrip("/")
+        staging = {name: spark.read.parquet(f"{root}/{name}") for name in schema.STAGING_TABLES}
+        return medallion.staging_to_consume(spark, staging, args.consume, args.database, args.run_ts)
 
 
 if __name__ == "__main__":

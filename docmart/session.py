@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,9 +67,41 @@ def checkpoint_base(spark: SparkSession) -> str:
     return base
 
 
+_open = threading.local()
+
+
+def _scopes() -> list[list[str]]:
+    """The scratch scopes that this thread has open, innermost last."""
+    if not hasattr(_open, "scopes"):
+        _open.scopes = []
+    return _open.scopes
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders made inside (``shared_dir``, ``materialize``) when the block ends, also if it fails.
+
+    Whatever reads them must run inside: results leave the block as written tables or collected rows.
+    Outside any scope the folders stay, since a lazy result may still read them. Scopes nest; each
+    thread has its own.
+    """
+    made: list[str] = []
+    _scopes().append(made)
+    try:
+        yield
+    finally:
+        _scopes().pop()
+        for folder in made:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    return checkpoint_base(spark).rstrip("/") + "/" + name + "-" + uuid.uuid4().hex[:12]
+    """A fresh folder under the shared checkpoint folder; it goes with the innermost open ``scratch``."""
+    path = checkpoint_base(spark).rstrip("/") + "/" + name + "-" + uuid.uuid4().hex[:12]
+    if _scopes():
+        _scopes()[-1].append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -75,7 +110,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
     Cuts the lineage of an intermediate that several branches read, so it is
     computed once (one job, columnar and compressed, no cache held) and a lost
-    executor only re-reads files.
+    executor only re-reads files. Inside ``scratch`` the table goes with the block.
     """
     path = shared_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)

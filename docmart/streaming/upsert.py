@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from docmart import schema
 from docmart.operators import star
 from docmart.plans import medallion
-from docmart.session import materialize
+from docmart.session import materialize, scratch
 from docmart.sources import landing
 from docmart.streaming.incremental import MAX_FILE_AGE
 
@@ -94,10 +94,16 @@ class Upsert:
          .trigger(availableNow=True).start().awaitTermination())
 
     def take(self, batch: DataFrame, batch_id: int) -> None:
-        """One batch: replace the rows of its new and newer records in every table."""
+        """One batch: replace the rows of its new and newer records in every table. Its intermediate tables are removed."""
         spark, log = batch.sparkSession, self.path(f"_batches/{batch_id}")
         if _whole(spark, f"{log}/done") is not None:
             return
+        with scratch(spark):
+            self._take(batch, batch_id, log)
+        spark.range(1).write.mode("overwrite").parquet(f"{log}/done")
+
+    def _take(self, batch: DataFrame, batch_id: int, log: str) -> None:
+        spark = batch.sparkSession
         changed = _whole(spark, f"{log}/changed")
         if changed is None:
             self._newer(spark, batch, batch_id).write.mode("overwrite").parquet(f"{log}/changed")
@@ -114,7 +120,6 @@ class Upsert:
                     _replace(spark, self.path(name), staging[name], key, ids, bucket(F.col(key), self.buckets, batch_id))
             # Last: from now on the batch's records are the newest known.
             _replace(spark, self.path("records"), changed.drop("bucket"), "id", ids, bucket(F.col("id"), self.buckets, batch_id))
-        spark.range(1).write.mode("overwrite").parquet(f"{log}/done")
 
     def _newer(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> DataFrame:
         """The newest version of each record of the batch, if newer than the one known. Records without an id

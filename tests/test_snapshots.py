@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from docmart import schema
 from docmart.operators import history
 from docmart.plans import medallion
+from docmart.session import checkpoint_base, materialize, scratch
 from docmart.sources import json_array, landing, quarantine, versions
 from docmart.streaming import upsert
 
@@ -137,3 +138,36 @@ def test_incremental_runs_equal_a_full_run_and_leave_other_buckets(spark, tmp_pa
     run.take(again, 1)
     run.take(again, 77)
     assert files(tmp_path / "t/records") == after and run.staging()["tramites_base"].filter("CODIGO_TRAMITE is null").count() == 1
+
+
+def scratch_folders(spark):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint_base(spark))
+    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return {f.getPath().getName() for f in there}
+
+
+def test_scratch_removes_what_was_made_inside(spark):
+    df = spark.range(3).toDF("id")
+    outer = materialize(df, "outside")
+    before = scratch_folders(spark)
+    with scratch(spark):
+        one = materialize(df, "one")
+        with scratch(spark):
+            materialize(one, "two")
+            assert len(scratch_folders(spark) - before) == 2
+        assert one.count() == 3 and len(scratch_folders(spark) - before) == 1
+    assert scratch_folders(spark) == before and outer.count() == 3
+    with pytest.raises(ValueError):
+        with scratch(spark):
+            materialize(df, "fails")
+            raise ValueError
+    assert scratch_folders(spark) == before
+
+
+def test_incremental_runs_leave_no_intermediate_tables(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    land(spark, root, "2024-01-01 00:00:00", [record(str(i), "old") for i in range(3)])
+    before = scratch_folders(spark)
+    run = upsert.Upsert(spark, root, str(tmp_path / "t"), buckets=4)
+    run.run()
+    assert run.staging()["tipo_tramite"].count() == 3 and scratch_folders(spark) == before
