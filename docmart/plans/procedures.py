@@ -19,7 +19,7 @@ from docmart import rules, schema
 from docmart.plans import medallion
 from docmart.plans.queries import price_text, query, table
 from docmart.plans.queries import text_of as _text
-from docmart.session import shared_dir
+from docmart.session import shared_dir, spread
 from docmart.sources import landing
 from docmart.streaming import upsert
 
@@ -50,7 +50,8 @@ def _block(block_id: Column, kind: str, **fields: Column) -> Column:
 
 def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One content record per customer (RAW_SCHEMA), and ``changed`` still to be set."""
-    c = table(spark, sf_dir, "customer").withColumn("n", F.col("c_custkey"))
+    c = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"))
+    c = c.withColumn("n", F.col("c_custkey"))
     n, k, seg = F.col("n"), F.col("c_custkey").cast("string"), F.col("c_mktsegment")
     blank = F.lit(None).cast("string")
     given = lambda name: F.when(n % 2 == 1, F.lit(name))
